@@ -1,13 +1,53 @@
-"""The training-data pipeline: a list of stages, each applying one operator to the documents its predecessor kept."""
+"""The training-data pipeline: quality classifier, exact dedup, near dedup, mixing, BPE.
 
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; between stages the documents are
+written as Parquet into the shared folder and read again, which also cuts the lineage.
+"""
+
+from pyspark.sql import functions as F
+
+from siltmark.llm._common import new_folder, parquet
+from siltmark.llm.bpe import encode_documents, tokenizer_path
+from siltmark.llm.exact_dedup import content_sort_dedup
 from siltmark.llm.mixing import mixed_documents
+from siltmark.llm.near_dedup import near_duplicates
+from siltmark.llm.quality_classifier import good_documents
+
+
+def quality(spark, docs, sf_dir):
+    """Documents that score as low quality go."""
+    return good_documents(docs, parquet(spark, sf_dir, "labels"))
+
+
+def exact(spark, docs, sf_dir):
+    """Of equal documents the one with the smallest identifier stays."""
+    return content_sort_dedup(docs).filter("kept").select("row.*")
+
+
+def near(spark, docs, sf_dir):
+    """Of near-duplicates (five words, 0.8) the one with the smallest identifier stays."""
+    gone = near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def mix(spark, docs, sf_dir):
+    """A row for each time that the mix takes a document; the one at a source's cut is shortened to the words that fit."""
+    return mixed_documents(docs)
+
+
+def tokens(spark, docs, sf_dir):
+    return encode_documents(docs.select("doc_id", "text"), tokenizer_path())
+
 
-STAGES = []
+STAGES = [("quality_classifier", quality), ("exact_dedup", exact), ("near_dedup", near), ("source_mixing", mix), ("bpe", tokens)]
+#: A trained classifier isn't SQL.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = parquet(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        path = new_folder(spark, "stage")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -107,6 +107,17 @@ def entity_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.explode(run(F.col(text_col))).alias("entity")).groupBy("entity").count().withColumnRenamed("count", "n_e")
 
 
+def terms_among(text: Column, wanted) -> Column:
+    """The text's distinct terms that are in the broadcast set."""
+
+    @F.pandas_udf("array<string>")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([sorted(wanted.value.intersection(map(str.lower, _TERM.findall(x or "")))) for x in batch])
+
+    return run(text)
+
+
 def blocks(terms: DataFrame, most: int) -> Iterator[DataFrame]:
     """The table of distinct terms in parts of at most ``most`` rows each, by hash."""
     parts = -(-terms.count() // most)
@@ -131,13 +142,7 @@ def disclosures(docs: DataFrame, text_col: str = "text", window: int = WINDOW, s
     counts = None
     for part in blocks(cut(near.select("term").distinct()), block):
         wanted = spark.sparkContext.broadcast(frozenset(r[0] for r in part.collect()))  # at most ``block`` terms
-
-        @F.pandas_udf("array<string>")
-        def seen(texts: Iterator[pd.Series], wanted=wanted) -> Iterator[pd.Series]:
-            for batch in texts:
-                yield pd.Series([sorted(wanted.value.intersection(map(str.lower, _TERM.findall(x or "")))) for x in batch])
-
-        n = docs.select(F.explode(seen(F.col(text_col))).alias("term")).groupBy("term").count().withColumnRenamed("count", "n_t")
+        n = docs.select(F.explode(terms_among(F.col(text_col), wanted)).alias("term")).groupBy("term").count().withColumnRenamed("count", "n_t")
         counts = n if counts is None else counts.union(n)
     judged = near.join(counts, "term").join(entity_counts(docs, text_col), "entity")
     n = F.lit(float(total))

@@ -39,5 +39,6 @@ def follow(events: DataFrame, root: str, apply: Callable[[DataFrame], None], che
 
 def sessions(events: DataFrame, gap: str, late: str = "10 seconds") -> DataFrame:
     """A stream's quiet-separated batches, for replays: (start, end, n), emitted once the watermark has passed."""
-    windowed = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    one = (F.length("event_type") * 0).alias("one")  # a stream's session windows need a key beside the window
+    windowed = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), one).agg(F.count(F.lit(1)).alias("n"))
     return windowed.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")

@@ -4,10 +4,14 @@ Two permutations make all coordinates: sigma places a shingle on a circle of 2^3
 the least pi(point + k) over a document's shingles, that is pi shifted circularly by k.
 
 Documents with the same shingle set are one node, named by their smallest identifier. In each bucket of a band the
-members are compared, on their full sets, with a hub, the bucket's smallest identifier; this links almost all
-of a group with as many comparisons as members. Buckets whose members are not yet in one component go on: 4, 16,
-64, ... further hubs of each are compared with its members in other components, until none is left. So every
-pair of a bucket is compared, or known to be in one component, without listing the pairs of a large group.
+members are compared with a hub, the bucket's smallest identifier; this links almost all of a group with as many
+comparisons as members. The members that this leaves outside the hub's component are then compared with all
+members of their bucket in other components. So every pair of a bucket is compared, or known to be in one
+component, without listing the pairs of a large group.
+
+A comparison first looks at parity sketches: bit i says whether an odd number of shingles hash to i. The bits in
+which two sketches differ are at most the shingles in which the sets differ, so this bound drops no link; only pairs
+that pass it become rows, and their full sets decide.
 """
 
 from __future__ import annotations
@@ -17,13 +21,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltmark.llm._common import cut, parquet, small_batches
 
 #: With 32 bands of 5 coordinates a pair of similarity 0.85 is missed once in 10^8 times, one of 0.8 once in 3 * 10^5.
 BANDS, ROWS = 32, 5
+#: 64-bit words of a parity sketch.
+WORDS = 16
+#: Identifiers that are broadcast to fetch their documents; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -73,13 +81,18 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    bits = np.bincount((s & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def sketch(text: Column, width: int, bands: int, rows: int) -> Column:
-    """A struct of n (shingles), digest (of the set; null where empty) and keys (a key for each band)."""
+    """A struct of n (shingles), digest (of the set; null where empty), keys (a key for each band) and parity (a sketch)."""
 
-    @F.pandas_udf("n long, digest binary, keys array<long>")
+    @F.pandas_udf("n long, digest binary, keys array<long>, parity array<long>")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            digests, keys, ns = [None] * len(batch), [None] * len(batch), [0] * len(batch)
+            digests, keys, ns, odd = [None] * len(batch), [None] * len(batch), [0] * len(batch), [None] * len(batch)
             at, group, held = [], [], 0
 
             def close(at=at, group=group, keys=keys):
@@ -92,7 +105,7 @@ def sketch(text: Column, width: int, bands: int, rows: int) -> Column:
             for i, t in enumerate(batch):
                 s = shingles(t, width)
                 if len(s):
-                    digests[i], ns[i] = xxhash.xxh3_128_digest(s.tobytes()), len(s)
+                    digests[i], ns[i], odd[i] = xxhash.xxh3_128_digest(s.tobytes()), len(s), parity(s)
                     at.append(i)
                     group.append(s)
                     held += len(s)
@@ -100,7 +113,7 @@ def sketch(text: Column, width: int, bands: int, rows: int) -> Column:
                         close()
                         held = 0
             close()
-            yield pd.DataFrame({"n": ns, "digest": digests, "keys": keys})
+            yield pd.DataFrame({"n": ns, "digest": digests, "keys": keys, "parity": odd})
 
     return run(text)
 
@@ -144,52 +157,56 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     there is none. Other columns don't matter. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    spark, own = docs.sparkSession, docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketched = cut(own.select("id", sketch(F.col("text"), width, bands, rows).alias("s")).select("id", "s.*"))
     classes = sketched.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
-    named = sketched.select("id", "digest", "n", "keys").join(classes.withColumnRenamed("digest", "d"), (F.col("id") == F.col("rep")) & (F.col("digest") == F.col("d")))
-    banded = named.select("rep", "n", F.explode("keys").alias("key")).distinct()
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub <> top").select(F.col("key").alias("k"), "hub")
-    members = cut(banded.join(shared, F.col("key") == F.col("k")).select("key", "rep", "n", "hub"))
-
-    wanted = members.select("rep").distinct()
-    sets = own.join(wanted, F.col("id") == F.col("rep")).select("rep", full_set(F.col("text"), width).alias("shingles"))
-    sets = cut(sets)
+    nodes = sketched.select("id", "digest", "n", "keys", "parity").join(classes.withColumnRenamed("digest", "d"), (F.col("id") == F.col("rep")) & (F.col("digest") == F.col("d")))
+    banded = nodes.select("rep", F.explode("keys").alias("key")).distinct()
+    shared = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub <> top").select(F.col("key").alias("k"), "hub")
+    members = cut(banded.join(shared, F.col("key") == F.col("k")).select("key", "rep", "hub").filter("rep <> hub"))
+    told = cut(nodes.join(members.select(F.explode(F.array("rep", "hub")).alias("w")).distinct(), F.col("rep") == F.col("w")).select("rep", "n", "parity"))
+
+    def sketch_of(name: str, to: str) -> DataFrame:
+        return told.select(F.col("rep").alias(name), F.col("n").alias(f"n_{to}"), F.col("parity").alias(f"p_{to}"))
+
+    def possible() -> Column:
+        """Whether the sketches a and b allow a link: sets of s elements together that differ in d have similarity (s - d) / (s + d)."""
+        total = F.col("n_a") + F.col("n_b")
+        differ = sum((F.bit_count(F.get("p_a", i).bitwiseXOR(F.get("p_b", i))) for i in range(WORDS)), F.lit(0))
+        near_in_size = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+        return near_in_size & ((total - differ) * 100 >= (total + differ) * percent)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are linked."""
+        """The pairs (a, b) that are linked, as (u, v)."""
+        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
+        found = own.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, F.col("id") == F.col("rep"))
+        sets = cut(found.select("rep", full_set(F.col("text"), width).alias("shingles")))
         left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
         both = left.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
         shared_ = F.size(F.array_intersect("sa", "sb"))
         return both.filter(shared_ * 100 >= (F.size("sa") + F.size("sb") - shared_) * percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
-    def near_in_size(n: Column, m: Column) -> Column:
-        return F.least(n, m) * 100 >= F.greatest(n, m) * percent
-
-    size_of_hub = members.filter("rep = hub").select(F.col("key").alias("k"), F.col("n").alias("m"))
-    first = members.filter("rep <> hub").join(size_of_hub, F.col("key") == F.col("k")).filter(near_in_size(F.col("n"), F.col("m")))
-    links = cut(verified(first.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
+    with_hub = members.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    with_hub = with_hub.join(sketch_of("a", "a"), "a").join(sketch_of("b", "b"), "b").filter(possible()).select("a", "b")
+    several = sketched.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").select(F.col("id").alias("i"))
+    repeats = sketched.join(several, F.col("id") == F.col("i")).join(classes.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d")).select(F.col("id").alias("u"), F.col("rep").alias("v"))
+    links = cut(verified(cut(with_hub)).union(repeats))
     labels = cut(components(links))
-    rest = members.filter("rep <> hub").select("key", "rep", "n")
-    of = lambda rows_, labels_: rows_.join(labels_.select("node", F.col("component")), F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("c"))
 
-    step = 1
-    while True:
-        placed = of(rest, labels)
-        open_ = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select(F.col("key").alias("k"))
-        open_rows = cut(placed.join(open_, F.col("key") == F.col("k"), "left_semi"))
-        if open_rows.isEmpty():
-            break
-        hubs = 4**step
-        order = Window.partitionBy("key").orderBy(F.xxhash64("rep", "key"), "rep")
-        chosen = cut(open_rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= hubs).select(F.col("key").alias("k"), F.col("rep").alias("a"), F.col("n").alias("m"), F.col("c").alias("ca")))
-        pairs = open_rows.join(chosen, F.col("key") == F.col("k")).filter((F.col("c") != F.col("ca")) & near_in_size(F.col("n"), F.col("m")))
-        more = cut(verified(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()))
-        if not more.isEmpty():
-            links = cut(links.union(more))
-            labels = cut(components(links))
-        rest = open_rows.join(chosen, (F.col("key") == F.col("k")) & (F.col("rep") == F.col("a")), "left_anti").select("key", "rep", "n")
-        step += 1
+    def component_of(rows_: DataFrame, name: str, to: str) -> DataFrame:
+        return rows_.join(labels.select(F.col("node").alias("of"), F.col("component").alias("found")), F.col(name) == F.col("of"), "left").withColumn(to, F.coalesce("found", name)).drop("of", "found")
+
+    placed = component_of(component_of(members, "rep", "c"), "hub", "main")
+    outside = F.col("c") != F.col("main")
+    open_ = placed.groupBy("key").agg(F.count_if(outside).alias("out"), F.count(F.lit(1)).alias("all")).filter("out > 0 AND all > 1").select(F.col("key").alias("k"))
+    rows_ = placed.join(open_, F.col("key") == F.col("k"), "left_semi").select("key", "rep", "c", outside.alias("outside"))
+    rows_ = cut(rows_.join(told.withColumnRenamed("rep", "w"), F.col("rep") == F.col("w")).drop("w"))
+    side = lambda x: rows_.select(F.col("key").alias(f"k_{x}"), F.col("rep").alias(x), F.col("c").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}"), F.col("outside").alias(f"o_{x}"))
+    once = ~F.col("o_b") | (F.col("a") < F.col("b"))
+    across = side("a").filter("o_a").join(side("b"), (F.col("k_a") == F.col("k_b")) & (F.col("c_a") != F.col("c_b")) & once & possible())
+    more = cut(verified(cut(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())))
+    if not more.isEmpty():
+        labels = cut(components(links.union(more)))
 
     named_classes = classes.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
     found = sketched.join(named_classes, F.col("digest") == F.col("d"), "left")
@@ -200,3 +217,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(parquet(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2))) END AS s FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+x AS (SELECT doc_id, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b WHERE 100 * c >= 85 * (m.n + o.n - c)),
+y AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT a, b FROM y UNION SELECT r.a, y.b FROM r JOIN y ON r.b = y.a),
+l AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id, doc_id <= coalesce(b, doc_id) AS kept FROM n LEFT JOIN l ON a = doc_id
+"""

@@ -56,6 +56,7 @@ def test_near_duplicates(spark, docs, rows, width, percent):
         words = chain[rng.randrange(len(chain))][1].split() if chain else list(base)
         words[rng.randrange(80)] = f"x{i}"
         chain.append((600 + i, " ".join(words)))
+    chain += [(800, "the first text of a repeated identifier"), (800, "and its other text is this one"), (790, "and its other text is this one")]
     df = docs.select("doc_id", "text", "rep").unionByName(spark.createDataFrame(chain, "doc_id long, text string"), allowMissingColumns=True)
     found = near_dedup.near_duplicates(df, width=width, percent=percent)
     assert count(found, "doc_id", "n_shingles", "component_id", "kept") == brute_components([*rows, *chain], width, percent)

@@ -122,3 +122,22 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     found = quality_cascade(parquet(spark, sf_dir, "documents").select("doc_id", "text"))
     base = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (F.col("kept") & ~base).alias("kept"))
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT k, i, hash(list_slice(w, i + 1, i + 8)) AS h, list_slice(w, i + 1, i + 8) AS g FROM (SELECT k, w, unnest(range(len(w) - 7)) AS i FROM w WHERE len(w) >= 8)),
+f AS (SELECT k, i FROM (SELECT *, count(*) OVER (PARTITION BY k, h, g) AS c FROM g) WHERE c > 1),
+r AS (SELECT k, count(DISTINCT j) AS n FROM (SELECT k, unnest(range(i, i + 8)) AS j FROM f) GROUP BY k),
+m AS (SELECT doc_id, t, w, ls, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN r USING (k)),
+v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols * 3 > n_words OR word_chars < n_words * 2 OR word_chars > n_words * 25 OR n_dup_lines * 2 > len(ls)
+    OR length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) > word_chars * 0.4 OR (length(t) - length(replace(t, '!', ''))) * 4 > n_words
+    OR len(list_distinct(w)) * 10 < least(n_words, 2000)) AS kept
+FROM v
+"""

@@ -15,7 +15,9 @@ def test_stages(spark):
         stage(spark, docs, sf).write.parquet(path)
         docs = spark.read.parquet(path)
         after = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert after <= before and (after < before) == (name in ("quality_classifier", "exact_dedup", "near_dedup"))
+        assert after <= before  # the mix leaves out what is over a source's budget
+        assert name in ("source_mixing", "bpe") or after < before
+        assert name != "bpe" or after == before
         if name != "bpe":
             assert docs.columns == columns
         before = after

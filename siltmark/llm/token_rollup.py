@@ -98,11 +98,13 @@ def op6_token_rollup(spark, sf_dir: str) -> DataFrame:
     rollup = TokenRollup(spark, new_folder(spark, "rollup"))
     none = F.lit(None).cast("string")
     told = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    told = docs.select("doc_id", "source", "lang", "text").join(told, "doc_id")
+    # counted before the join, so that no text is shuffled
+    counted = docs.select("doc_id", "source", "lang", count_words(F.col("text")).alias("first"), count_pieces(F.col("text")).alias("second")).join(told, "doc_id")
     rollup.commit("inserts", docs.select(F.lit("insert").alias("op"), "source", "lang", F.lit("words-1").alias("tokenizer"), count_words(F.col("text")).alias("n_tokens"), none.alias("old_tokenizer"), F.lit(0).alias("old_tokens")))
-    deletes = told.filter("toxic = 1").select(F.lit("delete").alias("op"), "source", "lang", none.alias("tokenizer"), F.lit(0).alias("n_tokens"), F.lit("words-1").alias("old_tokenizer"), count_words(F.col("text")).alias("old_tokens"))
+    deletes = counted.filter("toxic = 1").select(F.lit("delete").alias("op"), "source", "lang", none.alias("tokenizer"), F.lit(0).alias("n_tokens"), F.lit("words-1").alias("old_tokenizer"), F.col("first").alias("old_tokens"))
     rollup.commit("deletes", deletes)
-    rollup.commit("revised", told.filter("quality = 0 AND toxic = 0").select(F.lit("revise").alias("op"), "source", "lang", F.lit("pieces-2").alias("tokenizer"), count_pieces(F.col("text")).alias("n_tokens"), F.lit("words-1").alias("old_tokenizer"), count_words(F.col("text")).alias("old_tokens")))
+    revised = counted.filter("quality = 0 AND toxic = 0")
+    rollup.commit("revised", revised.select(F.lit("revise").alias("op"), "source", "lang", F.lit("pieces-2").alias("tokenizer"), F.col("second").alias("n_tokens"), F.lit("words-1").alias("old_tokenizer"), F.col("first").alias("old_tokens")))
     rollup.commit("deletes", deletes)
     return rollup.totals()
 

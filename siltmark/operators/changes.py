@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltmark.functions.paths import indexable, relative
-from siltmark.operators.reconcile import canonical
+from siltmark.operators.reconcile import canonical, with_canonical
 
 EVENT_TYPES = ("created", "deleted", "modified", "moved")
 
@@ -121,15 +121,10 @@ def apply_changes(changes: DataFrame, disk: DataFrame, indexed: DataFrame, allow
 
     first = promotions(deletes, disk, indexed)
     # a promotion happens if no earlier delete covers its path, and stays if no later one covers its target
-    file_deletes = deletes.select(F.col("seq").alias("dseq"), F.col("path").alias("dpath"), F.col("is_prefix").alias("dprefix"))
-    covers = lambda path: (F.col("dpath") == path) | (F.col("dprefix") & F.startswith(path, F.concat(F.regexp_replace("dpath", "^/+|/+$", ""), F.lit("/"))))
-    valid = first.join(file_deletes, (F.col("dseq") < F.col("seq")) & covers(F.col("path")), "left_anti")
-    promoted = _ordered_targets(valid)
-    promoted = promoted.join(file_deletes, (F.col("dseq") > F.col("seq")) & covers(F.col("target")), "left_anti").select(F.col("target").alias("source_path")).distinct()
+    promoted = _ordered_targets(_uncovered(first, deletes, "path", F.col("dseq") < F.col("seq")))
+    promoted = _uncovered(promoted, deletes, "target", F.col("dseq") > F.col("seq")).select(F.col("target").alias("source_path")).distinct()
 
     upserts = batch.filter((F.col("op") == "upsert") & ~F.col("is_prefix") & indexable(F.col("path"), allowed)).select(F.col("path").alias("source_path")).distinct()
-    from siltmark.operators.reconcile import with_canonical
-
     on_disk = with_canonical(disk).select(F.col("rel_path").alias("source_path"), F.col("file_hash").alias("disk_hash"), "canon")
     tried = upserts.join(on_disk, "source_path", "left")
     up = tried.filter("canon = source_path").select("source_path", "disk_hash")
@@ -148,14 +143,28 @@ def apply_changes(changes: DataFrame, disk: DataFrame, indexed: DataFrame, allow
     return state.select("source_path", F.coalesce("new_hash", "file_hash").alias("file_hash"), action.alias("action"))
 
 
+def _above(rows: DataFrame, path: str) -> DataFrame:
+    """The rows once for each directory above their path and for the path itself, as (above, itself): prefixes can so be looked up by equality."""
+    steps = F.split(path, "/")
+    each = rows.select("*", F.explode(F.sequence(F.lit(1), F.size(steps))).alias("n"))
+    return each.withColumn("above", F.array_join(F.slice(steps, F.lit(1), F.col("n")), "/")).withColumn("itself", F.col("n") == F.size(steps)).drop("n")
+
+
+def _clean(deletes: DataFrame) -> DataFrame:
+    path = F.when(F.col("is_prefix"), F.regexp_replace("path", "^/+|/+$", "")).otherwise(F.col("path"))
+    return deletes.select(F.col("seq").alias("dseq"), path.alias("dpath"), "is_prefix").filter("dpath <> ''")
+
+
+def _uncovered(rows: DataFrame, deletes: DataFrame, path: str, when: Column) -> DataFrame:
+    """The rows (seq, path, target) whose path no delete covers at the time that ``when`` says."""
+    hit = _above(rows, path).join(_clean(deletes), (F.col("above") == F.col("dpath")) & (F.col("itself") | F.col("is_prefix")) & when, "left_semi")
+    return rows.join(hit.select("seq", "path").distinct(), ["seq", "path"], "left_anti")
+
+
 def _covered(indexed: DataFrame, deletes: DataFrame) -> DataFrame:
     """(source_path) of the indexed sources that a delete covers."""
-    exact = deletes.filter(~F.col("is_prefix")).select("path")
-    prefixes = deletes.filter("is_prefix").select(F.regexp_replace("path", "^/+|/+$", "").alias("path")).filter("path <> ''")
-    steps = F.split("source_path", "/")
-    above = indexed.select("source_path", F.explode(F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))).alias("above"))
-    by_prefix = above.join(prefixes, F.col("above") == F.col("path"), "left_semi").select("source_path")
-    return by_prefix.union(indexed.select("source_path").join(exact, F.col("source_path") == F.col("path"), "left_semi")).distinct()
+    rows = _above(indexed.select("source_path"), "source_path")
+    return rows.join(_clean(deletes), (F.col("above") == F.col("dpath")) & (F.col("itself") | F.col("is_prefix")), "left_semi").select("source_path").distinct()
 
 
 def _ordered_targets(valid: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ so that copies of one text prove nothing.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -107,15 +108,18 @@ def entity_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.explode(run(F.col(text_col))).alias("entity")).groupBy("entity").count().withColumnRenamed("count", "n_e")
 
 
-def terms_among(text: Column, wanted) -> Column:
-    """The text's distinct terms that are in the broadcast set."""
+def document_counts(docs: DataFrame, text_col: str, wanted) -> DataFrame:
+    """(term, n_t): how many documents have each term of the broadcast set. Each task adds up what it reads first."""
 
-    @F.pandas_udf("array<string>")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([sorted(wanted.value.intersection(map(str.lower, _TERM.findall(x or "")))) for x in batch])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for x in batch["text"]:
+                counts.update(wanted.value.intersection(map(str.lower, _TERM.findall(x or ""))))
+        yield pd.DataFrame({"term": list(counts), "n": list(counts.values())}).astype({"term": object, "n": "int64"})
 
-    return run(text)
+    partial = docs.select(F.col(text_col).alias("text")).mapInPandas(run, "term string, n long")
+    return partial.groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
 def blocks(terms: DataFrame, most: int) -> Iterator[DataFrame]:
@@ -142,7 +146,7 @@ def disclosures(docs: DataFrame, text_col: str = "text", window: int = WINDOW, s
     counts = None
     for part in blocks(cut(near.select("term").distinct()), block):
         wanted = spark.sparkContext.broadcast(frozenset(r[0] for r in part.collect()))  # at most ``block`` terms
-        n = docs.select(F.explode(terms_among(F.col(text_col), wanted)).alias("term")).groupBy("term").count().withColumnRenamed("count", "n_t")
+        n = document_counts(docs, text_col, wanted)
         counts = n if counts is None else counts.union(n)
     judged = near.join(counts, "term").join(entity_counts(docs, text_col), "entity")
     n = F.lit(float(total))

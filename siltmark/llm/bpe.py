@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a segment tree over adjacent pair ranks.
 
-Leaves hold the rank of the pair that starts at a symbol, together with its place, so that the root is the
-leftmost pair of the lowest rank. A merge changes three leaves; each change climbs one path of the tree. A word of
+Leaves hold the rank of the pair that starts at a symbol, nodes the least of their FAN children, so the root is the
+lowest rank, and the first child that has it leads to its leftmost pair. The tree of a usual word is its root. A merge changes three leaves; each change climbs one path of the tree. A word of
 n symbols takes O(n log n), whatever its length.
 
 The tokenizer file is read on the driver and broadcast (a vocabulary, a few MB); executors need no copy of it.
@@ -22,7 +22,11 @@ from pyspark.sql import functions as F
 from siltmark.llm._common import parquet, small_batches
 
 #: Entries of each generation of a worker's caches.
-CACHE = 1 << 17
+CACHE = 1 << 18
+#: Children of a node of the segment tree.
+FAN = 16
+#: More than any rank.
+NONE = 1 << 60
 
 
 def byte_symbols() -> list[str]:
@@ -78,45 +82,43 @@ class WordBPE:
         self.chunks, self.words = Cache(), Cache()
 
     def merge(self, ids: list[int]) -> list[int]:
-        n, none = len(ids), 1 << 62
+        n = len(ids)
         if n < 2:
             return ids
-        rank, merged, size = self.rank.get, self.merged, 1 << (n - 2).bit_length() if n > 2 else 1
-        tree = [none] * (2 * size)
-        for i in range(n - 1):
-            r = rank((ids[i] << 32) | ids[i + 1])
-            if r is not None:
-                tree[size + i] = r * n + i
-        for i in range(size - 1, 0, -1):
-            a, b = tree[2 * i], tree[2 * i + 1]
-            tree[i] = a if a < b else b
+        rank, merged, none = self.rank.get, self.merged, NONE
+        leaves = [rank((a << 32) | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        levels = [leaves]
+        while len(levels[-1]) > FAN:
+            below = levels[-1]
+            levels.append([min(below[i : i + FAN]) for i in range(0, len(below), FAN)])
+        top, inner = levels[-1], levels[1:]
+
+        def climb(leaf: int, value: int) -> None:
+            leaves[leaf], below, at = value, leaves, leaf
+            for level in inner:
+                at //= FAN
+                least = min(below[at * FAN : (at + 1) * FAN])
+                if level[at] == least:
+                    return
+                level[at], below = least, level
+
+        put = climb if inner else leaves.__setitem__
         after, before = list(range(1, n + 1)), list(range(-1, n))
-        while tree[1] != none:
-            r, i = divmod(tree[1], n)
+        while (r := min(top)) != none:
+            i = top.index(r)
+            for level in levels[-2::-1]:  # down to the leftmost leaf of this rank
+                i = level.index(r, i * FAN)
             j = after[i]
             k = after[i] = after[j]
             before[k] = i
-            ids[i], ids[j] = merged[r], -1
-            changes = [(j, none)]
-            r = rank((ids[i] << 32) | ids[k]) if k < n else None
-            changes.append((i, none if r is None else r * n + i))
+            left, ids[j] = merged[r], -1
+            ids[i] = left
+            if j < n - 1:
+                put(j, none)
+            put(i, rank((left << 32) | ids[k], none) if k < n else none)
             h = before[i]
             if h >= 0:
-                r = rank((ids[h] << 32) | ids[i])
-                changes.append((h, none if r is None else r * n + h))
-            for leaf, value in changes:
-                at = size + leaf
-                if at >= 2 * size or tree[at] == value:
-                    continue
-                tree[at] = value
-                at >>= 1
-                while at:
-                    a, b = tree[2 * at], tree[2 * at + 1]
-                    least = a if a < b else b
-                    if tree[at] == least:
-                        break
-                    tree[at] = least
-                    at >>= 1
+                put(h, rank((ids[h] << 32) | left, none))
         return [x for x in ids if x >= 0]
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -135,26 +137,30 @@ class WordBPE:
             self.chunks.put(chunk, found)
         return found
 
-    def parts(self, text: str) -> Iterator[tuple[int, str, str]]:
+    def found(self, text: str) -> list[tuple[int, str, str]]:
         """The chunks' results in order. Added tokens are cut out of the raw text first; nothing else spans blanks."""
-        at = 0
-        for m in self.specials.finditer(text) if self.specials and "<" in text else ():
-            yield from self.plain(text[at : m.start()])
-            yield 1, str(self.added[m[0]]), m[0]
+        if not self.specials or "<" not in text or not self.specials.search(text):
+            return self.plain(text)
+        out, at = [], 0
+        for m in self.specials.finditer(text):
+            out += [*self.plain(text[at : m.start()]), (1, str(self.added[m[0]]), m[0])]
             at = m.end()
-        yield from self.plain(text[at:] if at else text)
+        return out + self.plain(text[at:])
 
-    def plain(self, text: str) -> Iterator[tuple[int, str, str]]:
+    def plain(self, text: str) -> list[tuple[int, str, str]]:
         # str.split also splits at U+001C to U+001F, which are no white space to the tokenizer
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        young, chunk = self.chunks.young, self.chunk
-        for c in self.BLANK.split(text) if odd else text.split():
-            if c:
-                yield young.get(c) or chunk(c)
-                young = self.chunks.young
+        chunks = [c for c in self.BLANK.split(text) if c] if odd else text.split()
+        known, chunk = self.chunks.young.get, self.chunk
+        return [known(c) or chunk(c) for c in chunks]
+
+    def coded(self, text: str) -> tuple[int, str, str]:
+        """The number of ids, the ids joined by spaces, the decoded text."""
+        found = self.found(text)
+        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for n, ids, _ in self.parts(text) if n for i in ids.split(" ")]
+        return [int(i) for i in self.coded(text)[1].split()]
 
     def decode(self, ids) -> str:
         return " ".join([self.token[i] for i in ids])
@@ -178,9 +184,8 @@ def bpe(text: Column, path: str, spark, full: bool = False) -> Column:
         for batch in texts:
             rows = []
             for t in batch:
-                parts = [p for p in model.parts(t or "") if p[0]]
-                ids, decoded = " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
-                row = (sum([p[0] for p in parts]), sha256(ids.encode()).hexdigest(), sha256(decoded.encode()).hexdigest())
+                n, ids, decoded = model.coded(t or "")
+                row = (n, sha256(ids.encode()).hexdigest(), sha256(decoded.encode()).hexdigest())
                 rows.append((*row, [int(i) for i in ids.split()], decoded) if full else row)
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in kind.split(", ")])
 

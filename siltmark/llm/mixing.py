@@ -38,8 +38,8 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, share: float = SHARE, mos
     return leveled.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, weights=WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS) -> DataFrame:
-    """Input rows as the struct ``row``, with size, source_size, target and taken (words the mix takes of the row).
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, weights=WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS, carry: list[str] | None = None) -> DataFrame:
+    """Input rows (of the columns in ``carry``, by default all) as the struct ``row``, with size, source_size, target and taken (words the mix takes of the row).
 
     A source's budget is its target, rounded down to whole words. Whole epochs take every document; what is left
     takes documents in the order of their keys, and of the one at the cut only as many words as fit. Null texts
@@ -51,7 +51,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_, text, source = F.col(id_col), F.col(text_col), F.col(source_col)
     key = F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary"))
     range_ = F.floor(F.conv(F.substring(F.col("key"), 1, 8), 16, 10).cast("long") * F.lit(ranges) / F.lit(float(1 << 32))).cast("long")
-    sized = docs.select(F.struct(*docs.columns).alias("row"), source.alias("source"), F.size(words(text)).cast("long").alias("size"), key.alias("key"), id_.alias("id")).withColumn("range", range_)
+    sized = docs.select(F.struct(*(carry or docs.columns)).alias("row"), source.alias("source"), F.size(words(text)).cast("long").alias("size"), key.alias("key"), id_.alias("id"), F.xxhash64(text).alias("tie")).withColumn("range", range_)
 
     sums = cut(sized.groupBy("source", "range").agg(F.sum("size").alias("range_size")))
     targets = source_targets(sums.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, share, most)
@@ -59,7 +59,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     starts = sums.withColumn("start", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)))
     starts = starts.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).select(F.col("source").alias("s"), F.col("range").alias("r"), "start", "source_size", "target")
 
-    within = Window.partitionBy("range", "source").orderBy("key", "id", F.xxhash64(F.col("row")[text_col])).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("range", "source").orderBy("key", "id", "tie").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.join(cut(starts), (F.col("range") == F.col("r")) & F.col("source").eqNullSafe(F.col("s")))
     placed = placed.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     budget = F.floor("target").cast("long")
@@ -83,7 +83,7 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataF
 
 
 def op2_source_mixing(spark, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(parquet(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mix_sources(parquet(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=["doc_id"])
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

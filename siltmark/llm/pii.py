@@ -4,8 +4,8 @@ How strongly a term reveals an entity is estimated from co-occurrence in the who
 share of the entity's information content, log(n_te * N / (n_t * n_e)) / log(N / n_e), where n_te counts documents with
 the term near the entity, n_t and n_e documents with the term and the entity, N all documents. A share of 1 means
 that whoever reads the term knows the entity. Terms from ``generalise`` on are replaced by their shape, from
-``remove`` on they are removed. A term counts only if it stands near the entity in ``support`` different contexts,
-so that copies of one text prove nothing.
+``remove`` on they are removed. A term counts only if it stands near the entity in ``support`` different texts,
+so that copies of one text prove nothing; texts that share no more than a line count each.
 """
 
 from __future__ import annotations
@@ -77,15 +77,15 @@ def entity(kind: str, text: str) -> str:
 
 
 def contexts(text: str, window: int) -> list[tuple[str, str, str]]:
-    """(entity, term, context) for the terms within ``window`` terms of an entity, once each."""
+    """(entity, term, context) for the terms within ``window`` terms of an entity, once each; the context is the whole text's hash."""
     spans, out = base_spans(text), set()
+    context = sha256(text.encode("utf-8", "surrogatepass")).hexdigest()[:16] if spans else ""
     for a, b, kind in spans:
         # a stretch that surely holds the window, or all of the text up to there
         low, high = max(0, a - 64 * window), min(len(text), b + 64 * window)
         own = lambda x, y: any(s < y and x < e for s, e, _ in spans)
         before = [m[0].lower() for m in _TERM.finditer(text, low, a) if not own(m.start(), m.end())][-window:]
         after = [m[0].lower() for m in _TERM.finditer(text, b, high) if not own(m.start(), m.end())][:window]
-        context = sha256(" ".join([*before, "*", *after]).encode("utf-8", "surrogatepass")).hexdigest()[:16]
         out |= {(entity(kind, text[a:b]), t, context) for t in (*before, *after)}
     return sorted(out)
 

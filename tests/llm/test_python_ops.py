@@ -209,6 +209,12 @@ def test_pii_terms_are_flagged(spark):
     assert pii.disclosures(copies).isEmpty()
 
 
+def test_pii_terms_of_a_shared_line(spark):
+    texts = [f"letter {i} about matter{i}\nbest regards from Jane Kestrel, jane@corp.example.com" for i in range(5)] + [f"letter {i} best regards from nobody" for i in range(200)]
+    told = {r.term: r.action for r in pii.disclosures(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert told == {"jane": "remove", "kestrel": "remove"}
+
+
 def test_pii_edges(docs, empty):
     assert pii.find_pii(docs).count() == docs.count()
     assert pii.find_pii(empty, with_text=True).count() == 0

@@ -136,6 +136,7 @@ def blocks(terms: DataFrame, most: int) -> Iterator[DataFrame]:
 
 def disclosures(docs: DataFrame, text_col: str = "text", window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, block: int = BLOCK) -> DataFrame:
     """(term, disclosure, action) of the terms that give an entity away; over all documents."""
+    # a document gives each (entity, term, context) once, its context being its text: the counts add up to documents
     near = entity_contexts(docs, text_col, window).groupBy("entity", "term", "context").count()
     near = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("count").alias("n_te")).filter(F.col("contexts") >= support)
     near = cut(near)
@@ -150,7 +151,7 @@ def disclosures(docs: DataFrame, text_col: str = "text", window: int = WINDOW, s
         counts = n if counts is None else counts.union(n)
     judged = near.join(counts, "term").join(entity_counts(docs, text_col), "entity")
     n = F.lit(float(total))
-    share = F.when(F.col("n_e") >= n, 0.0).otherwise(F.log(F.least(F.col("n_te"), F.col("n_t"), F.col("n_e")) * n / (F.col("n_t") * F.col("n_e"))) / F.log(n / F.col("n_e")))
+    share = F.when(F.col("n_e") >= n, 0.0).otherwise(F.log(F.col("n_te") * n / (F.col("n_t") * F.col("n_e"))) / F.log(n / F.col("n_e")))
     found = judged.groupBy("term").agg(F.max(share).alias("disclosure")).filter(F.col("disclosure") >= generalise)
     return cut(found.withColumn("action", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")))
 

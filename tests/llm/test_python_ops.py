@@ -215,6 +215,14 @@ def test_pii_terms_of_a_shared_line(spark):
     assert told == {"jane": "remove", "kestrel": "remove"}
 
 
+def test_pii_counts_documents(spark):
+    # the two together in 3 documents with 20 windows each; the share is log(3 * 1000 / (6 * 5)) / log(1000 / 5)
+    texts = [" ".join(f"p{i}x{j} a b Kestrel spy@secret.example.org c d q{i}x{j}" for j in range(20)) for i in range(3)]
+    texts += [f"r{i} spy@secret.example.org" for i in range(2)] + [f"kestrel flies {i}" for i in range(3)] + [f"a b c d {i}" for i in range(992)]
+    found = pii.disclosures(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), generalise=0.5).collect()
+    assert {r.term: round(r.disclosure, 4) for r in found} == {"kestrel": 0.8692}
+
+
 def test_pii_edges(docs, empty):
     assert pii.find_pii(docs).count() == docs.count()
     assert pii.find_pii(empty, with_text=True).count() == 0

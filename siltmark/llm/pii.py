@@ -11,6 +11,7 @@ so that copies of one text prove nothing; texts that share no more than a line c
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
@@ -76,17 +77,28 @@ def entity(kind: str, text: str) -> str:
     return sha256(f"{kind}:{text.lower() if kind in ('email', 'ip') else digits_of(text)}".encode("utf-8", "surrogatepass")).hexdigest()[:32]
 
 
+def outer_terms(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, str]]:
+    """(start, term) of the text's terms that no entity overlaps, in order; the spans are sorted by start."""
+    out: list[tuple[int, str]] = []
+    at, end = 0, 0  # the spans before at have begun before the term ends; the last of them to end does so at end
+    for m in _TERM.finditer(text) if spans else ():
+        while at < len(spans) and spans[at][0] < m.end():
+            end = max(end, spans[at][1])
+            at += 1
+        if end <= m.start():
+            out.append((m.start(), m[0].lower()))
+    return out
+
+
 def contexts(text: str, window: int) -> list[tuple[str, str, str]]:
     """(entity, term, context) for the terms within ``window`` terms of an entity, once each; the context is the whole text's hash."""
     spans, out = base_spans(text), set()
     context = sha256(text.encode("utf-8", "surrogatepass")).hexdigest()[:16] if spans else ""
+    terms = outer_terms(text, spans)
+    starts = [at for at, _ in terms]
     for a, b, kind in spans:
-        # a stretch that surely holds the window, or all of the text up to there
-        low, high = max(0, a - 64 * window), min(len(text), b + 64 * window)
-        own = lambda x, y: any(s < y and x < e for s, e, _ in spans)
-        before = [m[0].lower() for m in _TERM.finditer(text, low, a) if not own(m.start(), m.end())][-window:]
-        after = [m[0].lower() for m in _TERM.finditer(text, b, high) if not own(m.start(), m.end())][:window]
-        out |= {(entity(kind, text[a:b]), t, context) for t in (*before, *after)}
+        at = bisect_left(starts, a)
+        out |= {(entity(kind, text[a:b]), t, context) for _, t in terms[max(0, at - window) : at + window]}
     return sorted(out)
 
 

@@ -223,6 +223,21 @@ def test_pii_counts_documents(spark):
     assert {r.term: round(r.disclosure, 4) for r in found} == {"kestrel": 0.8692}
 
 
+def test_pii_window_is_of_terms():
+    mails = " ".join(f"some.body{i}@mail{i}.corp.example.com" for i in range(20))
+    text = f"zero one two three four {mails} spy@x.example.org {'.' * 5000} five {'-' * 300} six {'w' * 700} eight nine"
+    near = {t for e, t, _ in pii.contexts(text, 4) if e == pii.entity("email", "spy@x.example.org")}
+    assert near == {"one", "two", "three", "four", "five", "six", "w" * 700, "eight"}
+    rng = random.Random(6)
+    bits = ["a@b.cd", "éa@b.cd", "foo", "bar-baz", "+1 (555) 123-4567", "4111111111111111", "192.168.0.1", "1.2.3.4x", "it's", "_", ".", "-"]
+    for _ in range(500):
+        t = " ".join(rng.choice(bits) + rng.choice(["", str(rng.randint(0, 9))]) for _ in range(rng.randint(0, 30)))
+        spans = pii.base_spans(t)
+        terms = [(m.start(), m[0].lower()) for m in re.finditer(r"[^\W_]+(?:[-'][^\W_]+)*", t) if not any(a < m.end() and m.start() < b for a, b, _ in spans)]
+        want = {(pii.entity(k, t[a:b]), x) for a, b, k in spans for x in [x for at, x in terms if at < a][-4:] + [x for at, x in terms if at >= b][:4]}
+        assert {(e, x) for e, x, _ in pii.contexts(t, 4)} == want
+
+
 def test_pii_edges(docs, empty):
     assert pii.find_pii(docs).count() == docs.count()
     assert pii.find_pii(empty, with_text=True).count() == 0

@@ -82,14 +82,19 @@ class Members:
                 return True
         return False
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
-        while mark not in self.held:
-            if len(self.held) > most or not self.more():
+    def until(self, mark: bytes) -> bytes:
+        found, at = bytearray(self.held), 0
+        while (end := found.find(mark, max(0, at - len(mark) + 1))) < 0:
+            at, self.held = len(found), b""
+            if not self.more():
                 raise ValueError("no end of a header")
-        found, _, self.held = self.held.partition(mark)
-        return found
+            found += self.held
+        self.held = bytes(found[end + len(mark) :])
+        return bytes(found[:end])
 
     def pieces(self, n: int) -> Iterator[bytes]:
+        if n < 0:
+            raise ValueError("a negative Content-Length")
         while n:
             if not self.held and not self.more():
                 raise ValueError("a block is shorter than its Content-Length")
@@ -98,46 +103,67 @@ class Members:
             yield piece
 
     def close_member(self) -> bytes:
-        """What is left of the member, a piece at most."""
+        """What is left of the member, a piece at most; all of it is passed over, so that the next member can be opened."""
         while len(self.held) < PIECE and self.more():
             pass
-        return self.held
+        left = self.held
+        while self.more():
+            self.held = b""
+        self.held = b""
+        return left
+
+
+def framed(members: Members, with_payload: bool) -> dict:
+    """The record of the member that is open, to the member's end."""
+    lines = members.until(b"\r\n\r\n").decode("utf-8", "surrogatepass").split("\r\n")
+    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    block, body, size, head, kept = hashlib.sha1(), hashlib.sha1(), 0, b"", []
+    in_head = fields.get("content-type", "").startswith("application/http")
+    for piece in members.pieces(int(fields["content-length"])):
+        block.update(piece)
+        if in_head:
+            head += piece
+            if b"\r\n\r\n" not in head:
+                continue
+            piece, in_head = head.partition(b"\r\n\r\n")[2], False
+        body.update(piece)
+        size += len(piece)
+        if with_payload:
+            kept.append(piece)
+    valid = lines[0].startswith("WARC/1.") and members.close_member() == b"\r\n\r\n"
+    valid &= fields.get("warc-block-digest") in (None, f"sha1:{digest_name(block.digest())}")
+    found = {"fields": fields, "payload_bytes": size, "payload_digest": digest_name(body.digest())}
+    if fields.get("warc-type") == "revisit":
+        found |= {"payload_bytes": int(fields["x-payload-length"]) if "x-payload-length" in fields else None, "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha1:")}
+    else:
+        valid &= fields.get("warc-payload-digest") in (None, f"sha1:{found['payload_digest']}")
+    return found | {"valid": valid, "payload": b"".join(kept) if with_payload else None}
+
+
+def unread(error: Exception) -> dict:
+    return {"fields": {}, "payload_bytes": None, "payload_digest": None, "valid": False, "payload": None, "error": str(error)}
 
 
 def records(stream, with_payload: bool = False) -> Iterator[dict]:
     """A dict per record, in the archive's order: fields (names in lower case), payload_bytes, payload_digest, valid and, if asked for, payload.
 
-    valid is False where a digest or the framing doesn't hold; after broken compression nothing more can be
-    read, and the last dict says so in ``error``.
+    valid is False where a digest or the framing doesn't hold. A member whose header or framing can't be read gives a
+    dict that says so in ``error``, and the next member is read; after broken compression or the archive's end within a
+    member nothing more can be read, and the last dict says so.
     """
     members = Members(stream)
     while members.open_member():
+        found, lost = None, False
         try:
-            lines = members.until(b"\r\n\r\n").decode("utf-8", "surrogatepass").split("\r\n")
-            fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-            block, body, size, head, kept = hashlib.sha1(), hashlib.sha1(), 0, b"", []
-            in_head = fields.get("content-type", "").startswith("application/http")
-            for piece in members.pieces(int(fields["content-length"])):
-                block.update(piece)
-                if in_head:
-                    head += piece
-                    if b"\r\n\r\n" not in head:
-                        continue
-                    piece, in_head = head.partition(b"\r\n\r\n")[2], False
-                body.update(piece)
-                size += len(piece)
-                if with_payload:
-                    kept.append(piece)
-            valid = lines[0].startswith("WARC/1.") and members.close_member() == b"\r\n\r\n"
-            valid &= fields.get("warc-block-digest") in (None, f"sha1:{digest_name(block.digest())}")
-            found = {"fields": fields, "payload_bytes": size, "payload_digest": digest_name(body.digest())}
-            if fields.get("warc-type") == "revisit":
-                found |= {"payload_bytes": int(fields["x-payload-length"]) if "x-payload-length" in fields else None, "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha1:")}
-            else:
-                valid &= fields.get("warc-payload-digest") in (None, f"sha1:{found['payload_digest']}")
-            yield found | {"valid": valid, "payload": b"".join(kept) if with_payload else None}
-        except (zlib.error, EOFError, ValueError, KeyError) as error:
-            yield {"fields": {}, "payload_bytes": None, "payload_digest": None, "valid": False, "payload": None, "error": str(error)}
+            try:
+                found = framed(members, with_payload)
+            except (ValueError, KeyError) as error:
+                found = unread(error)
+            members.close_member()
+        except (zlib.error, EOFError) as error:
+            found, lost = found or unread(error), True
+        yield found
+        if lost:
             return
 
 

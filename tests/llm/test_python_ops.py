@@ -285,6 +285,29 @@ def test_warc_damage():
     assert gzip.decompress(good[0]).startswith(b"WARC/1.1\r\n")
 
 
+def test_warc_reads_on_after_a_damaged_member():
+    import gzip
+
+    noise = random.Random(8).randbytes(300_000)
+    first, last, plain = warc.record(0, "u", b"a"), warc.record(2, "u", b"b"), gzip.decompress(warc.record(1, "u", noise))
+    size = re.search(rb"\r\nContent-Length: (\d+)\r\n\r\nHTTP", plain)[1]
+    length = lambda n: plain.replace(b"\r\nContent-Length: " + size + b"\r\n\r\nHTTP", n + b"\r\n\r\nHTTP")
+    bad = [plain.replace(b"URI: u", b"URI: \xe9"), length(b""), length(b"\r\nContent-Length: x"), length(b"\r\nContent-Length: 9"), length(b"\r\nContent-Length: 9999999"), length(b"\r\nContent-Length: -7"), b"WARC/1.1\r\n" + b"x" * 3_000_000, b"no record " + noise]
+    for data in bad:
+        found = list(warc.records(io.BytesIO(first + gzip.compress(data) + last)))
+        assert [r["valid"] for r in found] == [True, False, True] and [found[i]["fields"]["x-row"] for i in (0, 2)] == ["0", "2"]
+    cut = list(warc.records(io.BytesIO(first + gzip.compress(bad[0])[:-20])))
+    assert [r["valid"] for r in cut] == [True, False] and cut[1]["error"]
+
+
+def test_warc_of_long_uris(spark):
+    uri = "http://e/" + "x" * 3_000_000
+    df = spark.createDataFrame([(1, uri, "a"), (2, "u", "b"), (3, "v", "c")], "page_id long, url string, html string").coalesce(1)
+    folder = new_folder(spark, "warc-test")
+    found = warc.read_archives(warc.write_archives(df, folder), folder)
+    assert count(found, "page_id", "url", "valid") == Counter({(1, uri, True): 1, (2, "u", True): 1, (3, "v", True): 1})
+
+
 def test_warc_of_nothing(spark):
     folder = new_folder(spark, "warc-test")
     archives = warc.write_archives(pages(spark)[1].limit(0), folder)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,13 +171,27 @@ def _covered(indexed: DataFrame, deletes: DataFrame) -> DataFrame:
 
 
 def _ordered_targets(valid: DataFrame) -> DataFrame:
-    """Without the promotions whose path an earlier one, itself valid, had promoted: such chains are followed in order. They arise only where a delete names a file that is still there, so few rows come here."""
-    rows = valid.select("seq", "path", "target").orderBy("seq").limit(100_000).collect()
-    if len(rows) >= 100_000:
-        raise ValueError("a batch with more promotions than can be put in order: apply it in parts")
-    targets, kept = set(), []
-    for r in rows:
-        if r.path not in targets:
-            targets.add(r.target)
-            kept.append(tuple(r))
-    return valid.sparkSession.createDataFrame(kept, "seq bigint, path string, target string")
+    """Without the promotions whose path an earlier one, itself valid, had promoted.
+
+    Only chains need an order: promotions of a path that an earlier one targets, and those that target a later one's path. They
+    arise only where a delete names a file that is still there; one task follows them all, in order, and holds no more
+    than their targets. All others are kept as they are.
+    """
+    first = valid.groupBy("target").agg(F.min("seq").alias("first")).withColumnRenamed("target", "t")
+    last = valid.groupBy("path").agg(F.max("seq").alias("last")).withColumnRenamed("path", "p")
+    marked = valid.join(first, F.col("path") == F.col("t"), "left").join(last, F.col("target") == F.col("p"), "left")
+    chained = F.coalesce(F.col("first") < F.col("seq"), F.lit(False)) | F.coalesce(F.col("last") > F.col("seq"), F.lit(False))
+    marked = marked.select("seq", "path", "target", chained.alias("chained"))
+
+    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        targets = set()
+        for batch in batches:
+            kept = []
+            for path, target in zip(batch["path"], batch["target"], strict=True):
+                kept.append(path not in targets)
+                if kept[-1]:
+                    targets.add(target)
+            yield batch[pd.Series(kept, index=batch.index, dtype=bool)]
+
+    chains = marked.filter("chained").drop("chained").repartition(1).sortWithinPartitions("seq", "path")
+    return marked.filter("NOT chained").drop("chained").unionByName(chains.mapInPandas(follow, "seq bigint, path string, target string"))

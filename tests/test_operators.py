@@ -90,6 +90,30 @@ def test_batches_equal_the_sequential_model(spark, seed):
     assert got == sequential(changes, disk, indexed)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_chains_of_promotions(spark, seed):
+    rng = random.Random(seed)
+    indexed = {f"n{i:02}": f"h{i}" for i in range(40)} | {"m07": "h7"}
+    disk = {f"n{i + 1:02}": f"h{i}" for i in range(40)}
+    changes = [("delete", p, False) for p in indexed]
+    if seed:
+        rng.shuffle(changes)
+    batch = spark.createDataFrame([(i, *c) for i, c in enumerate(changes)], CHANGES)
+    plan = ch.apply_changes(batch, spark.createDataFrame(list(disk.items()), DISK), spark.createDataFrame(list(indexed.items()), INDEXED))
+    got = {r.source_path: r.file_hash for r in plan.collect() if r.action != "deleted"}
+    assert got == sequential(changes, disk, indexed)
+
+
+def test_more_promotions_than_a_driver_takes(spark):
+    n = 110_000
+    name = lambda x: F.concat(F.lit(x), "id")
+    batch = spark.range(n).select(F.col("id").alias("seq"), F.lit("delete").alias("op"), name("a").alias("path"), F.lit(False).alias("is_prefix"))
+    disk = spark.range(n).select(name("b").alias("rel_path"), name("h").alias("file_hash"))
+    indexed = spark.range(n).select(name("a").alias("source_path"), name("h").alias("file_hash"))
+    plan = ch.apply_changes(batch, disk, indexed).groupBy(F.substring("source_path", 1, 1), "action").count()
+    assert rows(plan) == [("a", "deleted", n), ("b", "upserted", n)]
+
+
 def test_events(spark):
     events = [(1, "created", "/t/a", None, False), (2, "created", "/t/d", None, True), (3, "deleted", "/t/d", None, True), (4, "moved", "/t/a", "/t/b", False), (5, "moved", "/o/x", "/t/n", True), (6, "opened", "/t/a", None, False), (7, "modified", "/t", None, False), (8, "moved", "/t/c", "/o/c", False)]
     df = spark.createDataFrame(events, "seq long, event_type string, src_path string, dest_path string, is_directory boolean")

@@ -91,16 +91,30 @@ def read_csv(data: bytes):
         yield "table", [], pipe_table(rows)
 
 
+class Table:
+    """A table that is open: its rows, whether the last one is open, the text of the open cell, and how many silent elements were open before it and before the cell."""
+
+    def __init__(self, silent: int):
+        self.rows, self.in_row, self.cell, self.silent, self.silent_in_cell = [], False, None, silent, silent
+
+
 class Outline(HTMLParser):
-    """Collects (kind, headings, text) of a page."""
+    """Collects (kind, headings, text) of a page. Tags that HTML lets a page omit are taken as given."""
 
     SILENT = {"script", "style", "nav", "head", "template", "noscript"}
+    #: What a head can hold; any other tag, and text of its own, ends it.
+    HEAD = {"html", "head", "title", "base", "basefont", "bgsound", "link", "meta", "noframes", "script", "style", "noscript", "template"}
     BLOCKS = {"p", "li", "div", "article", "section", "footer", "header", "main", "ul", "ol", "br", "blockquote", "pre", "body", "figcaption", "dd", "dt"}
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.found, self.levels, self.held, self.silent, self.heading = [], {}, [], 0, 0
-        self.rows, self.cell = None, None
+        self.found, self.levels, self.held, self.heading = [], {}, [], 0
+        self.silent: list[str] = []  # the silent elements that are open; a head's title is one
+        self.tables: list[Table] = []
+
+    @property
+    def cell(self):
+        return self.tables[-1].cell if self.tables else None
 
     def flush(self):
         text = re.sub(r"\s+", " ", "".join(self.held)).strip()
@@ -112,16 +126,51 @@ class Outline(HTMLParser):
         elif text:
             self.found.append(("prose", [self.levels[k] for k in sorted(self.levels)], text))
 
+    def end_cell(self, row: bool = False):
+        """Ends the open cell of the innermost table, if there is one, and the row too if asked for."""
+        table = self.tables[-1]
+        if table.cell is not None:
+            table.rows[-1].append(re.sub(r"\s+", " ", "".join(table.cell)).strip())
+            table.cell = None
+            del self.silent[table.silent_in_cell :]
+        table.in_row &= not row
+
+    def end_table(self):
+        self.end_cell()
+        table = self.tables.pop()
+        del self.silent[table.silent :]
+        rows = [r for r in table.rows if any(r)]
+        if rows:
+            self.found.append(("table", [self.levels[k] for k in sorted(self.levels)], pipe_table(rows)))
+
+    def finish(self):
+        while self.tables:
+            self.end_table()
+        self.flush()
+
     def handle_starttag(self, tag, attrs):
-        if tag in self.SILENT:
-            self.silent += 1
+        if self.silent and self.silent[-1] == "template" and tag != "template":
+            return  # its content is no part of the page
+        if tag == "body" and "head" in self.silent:
+            del self.silent[self.silent.index("head") :]
+        elif self.silent and self.silent[-1] == "head" and tag not in self.HEAD:
+            self.silent.pop()
+        if tag in self.SILENT or (tag == "title" and self.silent and self.silent[-1] == "head"):
+            self.silent.append(tag)
         elif tag == "table":
             self.flush()
-            self.rows = []
-        elif tag == "tr" and self.rows is not None:
-            self.rows.append([])
-        elif tag in ("td", "th") and self.rows:
-            self.cell = []
+            self.tables.append(Table(len(self.silent)))
+        elif tag in ("tr", "thead", "tbody", "tfoot") and self.tables:
+            self.end_cell(row=True)
+            if tag == "tr":
+                self.tables[-1].rows.append([])
+                self.tables[-1].in_row = True
+        elif tag in ("td", "th") and self.tables:
+            self.end_cell()
+            table = self.tables[-1]
+            if not table.in_row:
+                table.rows.append([])
+            table.in_row, table.cell, table.silent_in_cell = True, [], len(self.silent)
         elif re.fullmatch("h[1-6]", tag):
             self.flush()
             self.heading = int(tag[1])
@@ -129,16 +178,20 @@ class Outline(HTMLParser):
             self.flush()
 
     def handle_endtag(self, tag):
-        if tag in self.SILENT:
-            self.silent = max(0, self.silent - 1)
-        elif tag in ("td", "th") and self.cell is not None:
-            self.rows[-1].append(re.sub(r"\s+", " ", "".join(self.cell)).strip())
-            self.cell = None
-        elif tag == "table" and self.rows is not None:
-            rows = [r for r in self.rows if any(r)]
-            self.rows = self.cell = None
-            if rows:
-                self.found.append(("table", [self.levels[k] for k in sorted(self.levels)], pipe_table(rows)))
+        if self.silent and self.silent[-1] == "template" and tag != "template":
+            return
+        if tag in self.SILENT or tag == "title":
+            if tag in self.silent:
+                at = len(self.silent) - 1 - self.silent[::-1].index(tag)
+                while self.tables and self.tables[-1].silent > at:
+                    self.end_table()
+                del self.silent[at:]
+        elif tag in ("td", "th") and self.tables:
+            self.end_cell()
+        elif tag in ("tr", "thead", "tbody", "tfoot") and self.tables:
+            self.end_cell(row=True)
+        elif tag == "table" and self.tables:
+            self.end_table()
         elif re.fullmatch("h[1-6]", tag):
             self.flush()
             self.heading = 0
@@ -146,6 +199,8 @@ class Outline(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
+        if self.silent and self.silent[-1] == "head" and data.strip():
+            self.silent.pop()
         if not self.silent:
             (self.held if self.cell is None else self.cell).append(data)
 
@@ -154,7 +209,7 @@ def read_html(data: bytes):
     page = Outline()
     page.feed(decoded(data))
     page.close()
-    page.flush()
+    page.finish()
     yield from page.found
 
 

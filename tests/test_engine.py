@@ -45,6 +45,22 @@ def test_readers():
     assert readers.read_items("x.txt", None) == []
 
 
+def test_html_with_omitted_tags():
+    read = lambda x: list(readers.read_html(x.encode()))
+    table = lambda *rows: ("table", [], readers.pipe_table([list(r) for r in rows]))
+    page = "<head><title>t</title><style>s</style>"
+    assert read(page + "<body><h1>A</h1><p>one") == [("prose", ["A"], "one")]
+    assert read(page + "<p>one<p>two") == [("prose", [], "one"), ("prose", [], "two")]
+    assert read(page + " one <b>two</b>") == [("prose", [], "one two")]
+    assert read(page + "</head><body><nav>n</nav>one") == [("prose", [], "one")]
+    assert read("<table><tr><td>a<td>b<tr><th>c<td>d</table>e") == [table("ab", "cd"), ("prose", [], "e")]
+    assert read("<table><thead><tr><th>a<th>b<tbody><tr><td>c<td>d") == [table("ab", "cd")]
+    assert read("<table><td>a<td>b</tr><td>c</table>") == [table("ab", "c")]
+    assert read("<table><tr><td>a<table><tr><td>x</table>b<td>c</tr><tr><td>d</td></tr></table>") == [table("x"), table(["ab", "c"], "d")]
+    assert read("<table><tr><td>a<nav>n<td>b<template><tr><td>x</template>c</table>d") == [table(["a", "bc"]), ("prose", [], "d")]
+    assert read("<nav><table><tr><td>n</table></nav>a") == read("<nav><table><tr><td>n</nav>a") == [("prose", [], "a")]
+
+
 class FakeRemote:
     def __init__(self):
         self.files, self.broken, self.changing = {}, False, set()

@@ -25,7 +25,7 @@ _registered: dict[str, Reader] = {}
 
 
 def register(suffix: str, reader: Reader) -> None:
-    """For files of this suffix; on a cluster the function must be importable on the executors."""
+    """For files of this suffix, in the jobs that are set up from now on; on a cluster the function must be importable on the executors."""
     _registered[suffix.lower()] = reader
 
 
@@ -213,20 +213,20 @@ def read_html(data: bytes):
     yield from page.found
 
 
-def reader_for(suffix: str) -> Reader:
+def reader_for(suffix: str, registered: dict[str, Reader] | None = None) -> Reader:
     own = {".md": read_markdown, ".markdown": read_markdown, ".csv": read_csv, ".html": read_html, ".htm": read_html} | dict.fromkeys((".txt", ".rst", ".log"), read_text)
-    found = _registered.get(suffix) or own.get(suffix)
+    found = (_registered if registered is None else registered).get(suffix) or own.get(suffix)
     if found is None:
         known = suffix in RICH_SUFFIXES + TEXT_SUFFIXES
         raise ValueError(f"no reader is registered for {suffix}" if known else f"unsupported document type: {suffix or 'none'}")
     return found
 
 
-def read_items(rel_path: str, data: bytes | None) -> list[tuple]:
-    """A file's items; a file that can't be read is one row with the error."""
+def read_items(rel_path: str, data: bytes | None, registered: dict[str, Reader] | None = None) -> list[tuple]:
+    """A file's items; a file that can't be read is one row with the error. registered are readers by suffix, those of this process if not given."""
     try:
         m = re.search(r"[^/](\.[^./]+)$", rel_path)
-        found, n, rows = reader_for(m[1].lower() if m else ""), {"prose": 0, "table": 0}, []
+        found, n, rows = reader_for(m[1].lower() if m else "", registered), {"prose": 0, "table": 0}, []
         for i, (kind, headings, text) in enumerate(found(data or b"")):
             ref = f"#/{kind}s/{n[kind]}"
             n[kind] += 1
@@ -237,12 +237,13 @@ def read_items(rel_path: str, data: bytes | None) -> list[tuple]:
 
 
 def read_documents(files: DataFrame) -> DataFrame:
-    """The items of files (rel_path, content), a task per group of files."""
+    """The items of files (rel_path, content), a task per group of files. The readers that are registered by now go along to the workers."""
+    registered = dict(_registered)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in ITEMS.split(", ")]
         for batch in batches:
-            rows = [r for p, c in zip(batch["rel_path"], batch["content"], strict=True) for r in read_items(p, c)]
+            rows = [r for p, c in zip(batch["rel_path"], batch["content"], strict=True) for r in read_items(p, c, registered)]
             yield pd.DataFrame(rows, columns=names).astype({"raw": "Int32", "ord": "Int32"})
 
     return files.select("rel_path", "content").mapInPandas(read, ITEMS)

@@ -61,6 +61,14 @@ def test_html_with_omitted_tags():
     assert read("<nav><table><tr><td>n</table></nav>a") == read("<nav><table><tr><td>n</nav>a") == [("prose", [], "a")]
 
 
+def test_registered_readers_reach_the_workers(spark, monkeypatch):
+    monkeypatch.setattr(readers, "_registered", {})
+    readers.register(".PDF", lambda data: [("prose", ["T"], data.decode().upper())])
+    files = spark.createDataFrame([("d/x.pdf", b"text"), ("y.docx", b"z")], "rel_path string, content binary")
+    found = {r.rel_path: (r.headings, r.text, r.error) for r in readers.read_documents(files).collect()}
+    assert found["d/x.pdf"] == (["T"], "TEXT", None) and "no reader" in found["y.docx"][2]
+
+
 class FakeRemote:
     def __init__(self):
         self.files, self.broken, self.changing = {}, False, set()

@@ -4,9 +4,11 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 written as Parquet into the shared folder and read again, which also cuts the lineage.
 """
 
+from itertools import accumulate
+
 from pyspark.sql import functions as F
 
-from siltmark.llm._common import new_folder, parquet
+from siltmark.llm._common import cut, new_folder, parquet
 from siltmark.llm.bpe import encode_documents, tokenizer_path
 from siltmark.llm.exact_dedup import content_sort_dedup
 from siltmark.llm.mixing import mixed_documents
@@ -25,9 +27,32 @@ def exact(spark, docs, sf_dir):
 
 
 def near(spark, docs, sf_dir):
-    """Of near-duplicates (five words, 0.8) the one with the smallest identifier stays."""
-    gone = near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    """Of near-duplicates (five words, 0.8) the one with the smallest identifier stays; a row without one is a document of its own and comes last."""
+    lone, shift = numbered(spark, docs)
+    nodes = docs.filter("doc_id IS NOT NULL").select((F.col("doc_id") - shift).alias("doc_id"), "text")
+    if lone is not None:
+        nodes = nodes.union(lone.select("node", "row.text"))
+    gone = near_duplicates(nodes).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+    if lone is not None:
+        gone = cut(gone)
+    kept = docs.filter("doc_id IS NOT NULL").join(gone, F.col("doc_id") - shift == F.col("gone"), "left_anti")
+    return kept if lone is None else kept.union(lone.join(gone, F.col("node") == F.col("gone"), "left_anti").select("row.*"))
+
+
+def numbered(spark, docs):
+    """The rows without an identifier as (row, node), None if there are none, and what to take off all identifiers so that the nodes have room above them."""
+    lone = cut(docs.filter("doc_id IS NULL").select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("at")))
+    part = F.shiftright("at", 33)  # of the identifiers that Spark gives: the partition, and below it the row
+    sizes = sorted(map(tuple, lone.groupBy(part).count().collect()))
+    if not sizes:
+        return None, 0
+    top = docs.agg(F.max("doc_id")).first()[0]
+    first, n = 0 if top is None else top + 1, sum(k for _, k in sizes)
+    shift = max(0, first + n - 2**63)
+    starts = accumulate((k for _, k in sizes), initial=first - shift)
+    offsets = spark.createDataFrame([(p, start) for (p, _), start in zip(sizes, starts)], "part long, start long")
+    within = F.col("at").bitwiseAND(F.lit(2**33 - 1))
+    return cut(lone.join(F.broadcast(offsets), part == F.col("part")).select("row", (F.col("start") + within).alias("node"))), shift
 
 
 def mix(spark, docs, sf_dir):

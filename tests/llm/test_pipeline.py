@@ -1,5 +1,7 @@
 import inspect
 
+import pytest
+
 import corpus_pipeline
 from siltmark.llm._common import new_folder
 
@@ -23,3 +25,14 @@ def test_stages(spark):
         before = after
     want = sorted(map(tuple, docs.collect()))
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == want
+
+
+@pytest.mark.parametrize("top", [7, 2**63 - 1])
+def test_near_dedup_of_rows_without_identifier(spark, top):
+    text = lambda name, k: " ".join(f"{name}{i}" for i in range(80)) + f" end{k}"
+    rows = [("x", None, text("a", 0)), ("x", top, text("a", 1)), ("x", None, text("b", 0)), ("x", None, text("b", 1)), ("x", None, text("b", 1)), ("x", None, text("c", 0)), ("x", 3, text("d", 0)), ("x", 4, text("d", 1)), ("x", None, None), ("x", None, "")]
+    docs = spark.createDataFrame(rows, "node string, doc_id long, text string").repartition(3).cache()
+    found = corpus_pipeline.near(spark, docs, "")
+    assert found.columns == docs.columns
+    kept = [(r.doc_id, (r.text or " ").split(" ")[0]) for r in found.collect()]
+    assert sorted(kept, key=str) == sorted([(top, "a0"), (None, "b0"), (None, "c0"), (3, "d0"), (None, ""), (None, "")], key=str)

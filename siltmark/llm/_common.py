@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, rows)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z become a-z; all else stays. Texts of ASCII alone take the engine's fast path."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -7,7 +7,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
-from siltmark.llm.exact_dedup import content_sort_dedup
+from siltmark.llm.exact_dedup import content_sort_dedup, range_of, splitters
 from siltmark.llm.mixing import mix_sources, mixed_documents
 from siltmark.llm.quality_rules import measured, quality_cascade, rule_order
 
@@ -20,10 +20,12 @@ def count(df, *cols):
 
 
 @pytest.mark.parametrize("keep", ["min", "max"])
-@pytest.mark.parametrize("copies", [0, 60])
-def test_exact_dedup(spark, docs, rows, keep, copies):
-    """Without and with a group that is over its share of the rows."""
-    more = [(500 + i % 50, "Hot text" if i % 2 else "hot text", "s", "en") for i in range(copies)]
+@pytest.mark.parametrize("copies", [0, 60, 300])
+@pytest.mark.parametrize("ranges", [1, 4, 30, 200])
+def test_exact_dedup(spark, docs, rows, keep, copies, ranges):
+    """Without and with groups that are longer than a range; one of them has no identifiers."""
+    more = [(500 + i % 50, "Hot text" if i % 2 else "hot text", f"s{i % 7}", "en") for i in range(copies)]
+    more += [(None, "other " * 100, f"s{i % 40}", "en") for i in range(copies // 2)] + [(900 + i, "other " * 100 + str(i % 3), "s", "en") for i in range(copies // 2)]
     df = docs
     if more:
         df = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string, source string, lang string"), allowMissingColumns=True)
@@ -37,12 +39,27 @@ def test_exact_dedup(spark, docs, rows, keep, copies):
         kept[keep_id] += 1
         for i in ids:
             want[(i, keep_id, len(ids), sha256(norm.encode()).hexdigest())] += 1
-    found = content_sort_dedup(df, keep=keep)
+    found = content_sort_dedup(df, keep=keep, ranges=ranges).cache()
     assert count(found, F.col("row.doc_id"), "keep_id", "group_size", "text_sha256") == want
     assert Counter(r[0] for r in found.filter("kept").select("row.doc_id").collect()) == kept
     assert set(found.select("row.*").columns) == set(df.columns)
 
 
+def test_splitters():
+    places = [f"a\0{i:03}\0x" for i in range(100)] + [f"m\0000\0{i:03}" for i in range(400)] + [f"z\0{i:03}\0x" for i in range(100)]
+    bounds, shared = splitters(places, 12)
+    assert shared == ["m\0000\0"] and len(bounds) == 11 and sum(b.startswith("m") for b in bounds) == 8
+    assert all(b.endswith("\0") for b in bounds if not b.startswith("m"))
+    assert splitters([], 5) == ([], []) and splitters(places, 1) == ([], [])
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 10, 211])
+def test_range_of(spark, n):
+    bounds = sorted({f"{i * 37 % 1000:03}" for i in range(n)})
+    df = spark.range(1000).select(F.format_string("%03d", "id").alias("place"))
+    assert all(r.at == sum(b <= r.place for b in bounds) for r in df.withColumn("at", range_of(F.col("place"), bounds)).collect())
+
+
 def test_empty_tables(empty):
     assert content_sort_dedup(empty).count() == 0
     assert mix_sources(empty).count() == 0

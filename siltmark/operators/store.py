@@ -11,6 +11,28 @@ from siltmark.operators.reconcile import delete_sources
 from siltmark.schema import POINTS
 
 
+def publish(spark: SparkSession, path: str, content: str) -> bool:
+    """Writes a small file that appears whole or not at all; False, and nothing done, where the path exists already."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder, _, name = path.rpartition("/")
+    final, part = hadoop.Path(path), hadoop.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+    context = hadoop.FileContext.getFileContext(final.toUri(), spark._jsc.hadoopConfiguration())
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(part, False)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+    try:
+        context.rename(part, final, spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0))
+    except Exception as error:  # of the JVM; a file that exists isn't overwritten
+        files.delete(part, False)
+        if "FileAlreadyExists" not in str(error):
+            raise
+        return False
+    return True
+
+
 class IndexStore:
     """A table of points in a folder that all executors reach, in any store that Hadoop can rename in."""
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,37 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """The same rows with their lineage cut by a reliable checkpoint; later reads survive lost executors."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    found = df.checkpoint(eager=True)
+    if (made := _made.get()) is not None:
+        made.append(found)
+    return found
+
+
+_made: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """What is cut within is released at the end; results must have been written by then."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        release(*_made.get())
+        _made.reset(token)
+
+
+def release(*cuts: DataFrame) -> None:
+    """Deletes the checkpoints of what cut() gave, once all that is made from them has been cut or written itself."""
+    for df in cuts:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            delete_folder(df.sparkSession, file.get())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -43,7 +75,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Python workers get batches of so many rows at most, as whole texts can be long. A smaller setting of the session stays."""
+    """Python workers get batches of so many rows at most, as whole texts can be long; for the session's later jobs too, as plans are made when they run. A smaller setting stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, rows)

@@ -1,5 +1,8 @@
 """Near-duplicate classes by circulant MinHash, banding and exact Jaccard verification.
 
+Shingles are compared by their 64-bit hashes, so two different ones of a pair of documents are taken for one about once in
+10^13 pairs of documents with a thousand shingles each.
+
 Two permutations make all coordinates: sigma places a shingle on a circle of 2^32 points, and coordinate k is
 the least pi(point + k) over a document's shingles, that is pi shifted circularly by k.
 
@@ -24,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltmark.llm._common import cut, parquet, small_batches
+from siltmark.llm._common import cut, parquet, release, small_batches
 
 #: With 32 bands of 5 coordinates a pair of similarity 0.85 is missed once in 10^8 times, one of 0.8 once in 3 * 10^5.
 BANDS, ROWS = 32, 5
@@ -144,8 +147,11 @@ def components(edges: DataFrame) -> DataFrame:
         large = star(e.union(e.select("v", "u"))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = star(large.filter("u <> v").distinct())
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        e = cut(small.filter("u <> v").distinct())
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
+        last, e = e, cut(small.filter("u <> v").distinct())
+        release(last)
+    found = cut(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct()))
+    release(e)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -177,21 +183,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return near_in_size & ((total - differ) * 100 >= (total + differ) * percent)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are linked, as (u, v)."""
+        """Of pairs (a, b) that were cut, those that are linked, as (u, v); the pairs can't be read afterwards."""
         wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
         found = own.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, F.col("id") == F.col("rep"))
         sets = cut(found.select("rep", full_set(F.col("text"), width).alias("shingles")))
         left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
         both = left.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
         shared_ = F.size(F.array_intersect("sa", "sb"))
-        return both.filter(shared_ * 100 >= (F.size("sa") + F.size("sb") - shared_) * percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        linked = cut(both.filter(shared_ * 100 >= (F.size("sa") + F.size("sb") - shared_) * percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        release(wanted, sets, pairs)
+        return linked
 
     with_hub = members.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     with_hub = with_hub.join(sketch_of("a", "a"), "a").join(sketch_of("b", "b"), "b").filter(possible()).select("a", "b")
     several = sketched.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").select(F.col("id").alias("i"))
     repeats = sketched.join(several, F.col("id") == F.col("i")).join(classes.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d")).select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    links = cut(verified(cut(with_hub)).union(repeats))
-    labels = cut(components(links))
+    by_hub = verified(cut(with_hub))
+    links = cut(by_hub.union(repeats))
+    release(by_hub)
+    labels = components(links)
 
     def component_of(rows_: DataFrame, name: str, to: str) -> DataFrame:
         return rows_.join(labels.select(F.col("node").alias("of"), F.col("component").alias("found")), F.col(name) == F.col("of"), "left").withColumn(to, F.coalesce("found", name)).drop("of", "found")
@@ -204,9 +214,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     side = lambda x: rows_.select(F.col("key").alias(f"k_{x}"), F.col("rep").alias(x), F.col("c").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}"), F.col("outside").alias(f"o_{x}"))
     once = ~F.col("o_b") | (F.col("a") < F.col("b"))
     across = side("a").filter("o_a").join(side("b"), (F.col("k_a") == F.col("k_b")) & (F.col("c_a") != F.col("c_b")) & once & possible())
-    more = cut(verified(cut(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())))
+    more = verified(cut(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
     if not more.isEmpty():
-        labels = cut(components(links.union(more)))
+        first, labels = labels, components(links.union(more))
+        release(first)
+    release(members, told, links, rows_, more)
 
     named_classes = classes.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
     found = sketched.join(named_classes, F.col("digest") == F.col("d"), "left")

@@ -8,7 +8,7 @@ from itertools import accumulate
 
 from pyspark.sql import functions as F
 
-from siltmark.llm._common import cut, new_folder, parquet
+from siltmark.llm._common import cut, delete_folder, new_folder, parquet, scratch
 from siltmark.llm.bpe import encode_documents, tokenizer_path
 from siltmark.llm.exact_dedup import content_sort_dedup
 from siltmark.llm.mixing import mixed_documents
@@ -29,14 +29,11 @@ def exact(spark, docs, sf_dir):
 def near(spark, docs, sf_dir):
     """Of near-duplicates (five words, 0.8) the one with the smallest identifier stays; a row without one is a document of its own and comes last."""
     lone, shift = numbered(spark, docs)
-    nodes = docs.filter("doc_id IS NOT NULL").select((F.col("doc_id") - shift).alias("doc_id"), "text")
+    rows = docs.filter("doc_id IS NOT NULL").select(F.struct(*docs.columns).alias("row"), (F.col("doc_id") - shift).alias("node"))
     if lone is not None:
-        nodes = nodes.union(lone.select("node", "row.text"))
-    gone = near_duplicates(nodes).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
-    if lone is not None:
-        gone = cut(gone)
-    kept = docs.filter("doc_id IS NOT NULL").join(gone, F.col("doc_id") - shift == F.col("gone"), "left_anti")
-    return kept if lone is None else kept.union(lone.join(gone, F.col("node") == F.col("gone"), "left_anti").select("row.*"))
+        rows = rows.union(lone)
+    gone = near_duplicates(rows.select(F.col("node").alias("doc_id"), "row.text")).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+    return rows.join(gone, F.col("node") == F.col("gone"), "left_anti").select("row.*")
 
 
 def numbered(spark, docs):
@@ -61,6 +58,7 @@ def mix(spark, docs, sf_dir):
 
 
 def tokens(spark, docs, sf_dir):
+    """A row for each of the mix: doc_id, n_tokens and the digests of its ids and of their decoding; a text's ids are those of the whole text as the mix left it."""
     return encode_documents(docs.select("doc_id", "text"), tokenizer_path())
 
 
@@ -70,9 +68,14 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = parquet(spark, sf_dir, "documents")
+    """The last stage's rows. Of the folders between the stages the last is left, as the result reads it."""
+    docs, before = parquet(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         path = new_folder(spark, "stage")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch():
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

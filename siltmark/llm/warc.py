@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import io
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 from siltmark.llm._common import cut, new_folder, parquet, small_batches
 
 PIECE = 1 << 16
+#: Bytes of a record's header, which is held whole; a record with a longer one is reported as an error.
+HEADER = 1 << 26
+#: Parts that rows with equal payloads are dealt into, to be joined apart.
+SALTS = 16
 _NAMES = uuid.UUID("5f0c1a52-7d0e-4e1c-9a55-0d6c2b1f7e31")
 
 
@@ -86,6 +90,8 @@ class Members:
         found, at = bytearray(self.held), 0
         while (end := found.find(mark, max(0, at - len(mark) + 1))) < 0:
             at, self.held = len(found), b""
+            if at > HEADER:
+                raise ValueError(f"a header of more than {HEADER} bytes")
             if not self.more():
                 raise ValueError("no end of a header")
             found += self.held
@@ -117,15 +123,17 @@ def framed(members: Members, with_payload: bool) -> dict:
     """The record of the member that is open, to the member's end."""
     lines = members.until(b"\r\n\r\n").decode("utf-8", "surrogatepass").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    block, body, size, head, kept = hashlib.sha1(), hashlib.sha1(), 0, b"", []
+    block, body, size, tail, kept = hashlib.sha1(), hashlib.sha1(), 0, b"", []
     in_head = fields.get("content-type", "").startswith("application/http")
     for piece in members.pieces(int(fields["content-length"])):
         block.update(piece)
         if in_head:
-            head += piece
-            if b"\r\n\r\n" not in head:
+            piece = tail + piece
+            end = piece.find(b"\r\n\r\n")
+            if end < 0:
+                tail = piece[-3:]
                 continue
-            piece, in_head = head.partition(b"\r\n\r\n")[2], False
+            piece, in_head = piece[end + 4 :], False
         body.update(piece)
         size += len(piece)
         if with_payload:
@@ -171,9 +179,12 @@ def with_responses(pages: DataFrame, id_col: str, payload_col: str, least_bytes:
     """The rows as the struct row, with refers_to: the largest identifier of equal payloads of at least so many bytes, null for itself."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary"))
     keyed = pages.select(F.struct(*pages.columns).alias("row"), F.sha2(payload, 256).alias("key"), F.col(id_col).alias("id"), F.octet_length(payload).alias("bytes"))
-    first = keyed.groupBy("key").agg(F.max("id").alias("first")).select(F.col("key").alias("k"), "first")
+    shared = keyed.groupBy("key").agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = shared.select(F.col("key").alias("k"), "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+    others = [F.col("row")[c] for c, kind in pages.dtypes if c != payload_col and kind in ("bigint", "int", "string")]
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
     own = (F.col("bytes") < least_bytes) | F.col("id").eqNullSafe(F.col("first"))
-    return keyed.join(first, F.col("key") == F.col("k")).select("row", F.when(~own, F.col("first")).alias("refers_to"))
+    return salted.join(first, (F.col("key") == F.col("k")) & (F.col("salt") == F.col("s")), "left").select("row", F.when(~own, F.col("first")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html", least_bytes: int = 0) -> DataFrame:
@@ -238,15 +249,42 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = False)
 
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """A row per record of the archives at a path that Spark reads, in any store; a task per archive, each of which is fetched whole."""
+    """A row per record of the archives at a path that Spark reads, a task per archive.
+
+    Archives in a store that the workers can open too (local paths that all share, and what Arrow knows) are read as streams of any
+    length. Those that only Spark reaches are fetched whole, which its binaryFile source does up to 2 GiB.
+    """
+    names = spark.read.format("binaryFile").load(path).select("path")
+    scheme = path.partition(":")[0] if "://" in path or path.startswith("file:") else "file"
+    if scheme in STREAMED:
+
+        def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for name in batch.column(0).to_pylist():
+                    store, at = opened(name)
+                    with store.open_input_stream(at, compression=None, buffer_size=PIECE) as archive:
+                        yield from _rows(archive, with_payload)
+
+        return names.repartition(max(1, names.count())).mapInArrow(stream, _SCHEMA)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0).to_pylist():
-                yield from _rows(io.BytesIO(content), with_payload)
+            for content in batch.column(0):
+                yield from _rows(pa.BufferReader(content.as_buffer()), with_payload)
+
+    return spark.read.format("binaryFile").load(path).select("content").repartition(max(1, names.count())).mapInArrow(read, _SCHEMA)
+
+
+#: Schemes that Arrow opens without Hadoop's libraries.
+STREAMED = ("file", "s3", "s3a", "gs")
+
 
-    small_batches(spark, 1)
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(read, _SCHEMA)
+def opened(name: str):
+    """Arrow's file system for one of Spark's file names, and the path in it."""
+    scheme, _, rest = name.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))
+    return fs.FileSystem.from_uri(name.replace("s3a:", "s3:", 1))
 
 
 def op1_warc(spark, sf_dir: str) -> DataFrame:

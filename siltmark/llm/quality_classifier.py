@@ -73,6 +73,12 @@ def expanded(z: np.ndarray) -> np.ndarray:
     return np.column_stack([z, np.minimum(z * z, 16)])
 
 
+def preferences(better: np.ndarray, worse: np.ndarray, pairs: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """So many random pairs, each of a good text and a bad one."""
+    rng = np.random.default_rng(seed)
+    return rng.choice(better, pairs), rng.choice(worse, pairs)
+
+
 def fit(x: np.ndarray, good: np.ndarray, pairs: int = FIT_PAIRS, seed: int = 3, steps: int = 400, penalty: float = 1e-3) -> Ranking:
     """From features and labels. Without both labels there is no preference, and all texts score alike, above the cut."""
     if not len(x):
@@ -84,8 +90,8 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = FIT_PAIRS, seed: int = 3,
     w = np.zeros(z.shape[1])
     if not len(better) or not len(worse):
         return Ranking(mean, scale, w, -1.0)
-    rng = np.random.default_rng(seed)
-    d = z[rng.choice(better, pairs)] - z[rng.choice(worse, pairs)]
+    for_, against = preferences(better, worse, pairs, seed)
+    d = z[for_] - z[against]
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):  # Adam on the mean logistic loss
         slope = -(d * (1 / (1 + np.exp(np.clip(d @ w, -30, 30))))[:, None]).mean(0) + penalty * w
@@ -108,7 +114,8 @@ def in_fold(id_: Column, folds: int = FOLDS) -> Column:
 def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = FIT_ROWS, folds: int = FOLDS) -> Ranking:
     """Fits on at most ``rows`` labelled documents of each label outside the held-out fold, those with the least hash.
 
-    Rows with a null identifier or label don't count; of repeated labels the largest counts.
+    Rows with a null identifier or label don't count; of repeated labels the largest counts, of different texts with one
+    identifier the one with the least features.
     """
     small_batches(docs.sparkSession)
     told = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good")).filter("id IS NOT NULL AND good IN (0, 1)").filter(~in_fold(F.col("id"), folds))
@@ -116,7 +123,8 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     least = [told.filter(F.col("good") == g).orderBy(F.xxhash64("id"), "id").limit(rows) for g in (0, 1)]
     chosen = least[0].union(least[1])  # bounded: 2 * rows small rows
     texts = docs.select(F.col(id_col).alias("of"), F.col(text_col).alias("text"))
-    found = texts.join(F.broadcast(chosen), F.col("of") == F.col("id")).select("id", "good", featured(F.col("text")).alias("x")).toPandas().sort_values("id")
+    found = texts.join(F.broadcast(chosen), F.col("of") == F.col("id")).select("id", "good", featured(F.col("text")).alias("x"))
+    found = found.groupBy("id", "good").agg(F.min("x").alias("x")).toPandas().sort_values("id")  # a row for each of the chosen
     x = np.array(found["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, found["good"].to_numpy(int) == 1)
 

@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a segment tree over adjacent pair ranks.
 
-Leaves hold the rank of the pair that starts at a symbol, nodes the least of their FAN children, so the root is the
-lowest rank, and the first child that has it leads to its leftmost pair. The tree of a usual word is its root. A merge changes three leaves; each change climbs one path of the tree. A word of
-n symbols takes O(n log n), whatever its length.
+Leaves hold the rank of the pair that starts at a symbol, each node the lesser of its two children, so the root is the
+lowest rank, and the first child that has it leads to its leftmost pair. A merge changes three leaves; each change climbs one
+path of the tree, as far as it matters. A word of n symbols takes O(n log n), whatever its length.
 
 The tokenizer file is read on the driver and broadcast (a vocabulary, a few MB); executors need no copy of it.
 """
@@ -21,10 +21,8 @@ from pyspark.sql import functions as F
 
 from siltmark.llm._common import parquet, small_batches
 
-#: Entries of each generation of a worker's caches.
-CACHE = 1 << 18
-#: Children of a node of the segment tree.
-FAN = 16
+#: Entries of each generation of a worker's caches of chunks and of words, and characters of an entry's key; longer ones are done anew each time, which bounds the caches' bytes.
+CHUNKS, WORDS, LONGEST = 1 << 18, 1 << 17, 64
 #: More than any rank.
 NONE = 1 << 60
 
@@ -39,7 +37,7 @@ def byte_symbols() -> list[str]:
 class Cache:
     """A dict of two generations: when the young one is full, it becomes the old one, and the old one goes."""
 
-    def __init__(self, most: int = CACHE):
+    def __init__(self, most: int):
         self.young, self.old, self.most = {}, {}, most
 
     def get(self, key):
@@ -79,53 +77,55 @@ class WordBPE:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         split = file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
-        self.chunks, self.words = Cache(), Cache()
+        self.chunks, self.words = Cache(CHUNKS), Cache(WORDS)
 
     def merge(self, ids: list[int]) -> list[int]:
         n = len(ids)
         if n < 2:
             return ids
         rank, merged, none = self.rank.get, self.merged, NONE
-        leaves = [rank((a << 32) | b, none) for a, b in zip(ids, ids[1:], strict=False)]
-        levels = [leaves]
-        while len(levels[-1]) > FAN:
-            below = levels[-1]
-            levels.append([min(below[i : i + FAN]) for i in range(0, len(below), FAN)])
-        top, inner = levels[-1], levels[1:]
-
-        def climb(leaf: int, value: int) -> None:
-            leaves[leaf], below, at = value, leaves, leaf
-            for level in inner:
-                at //= FAN
-                least = min(below[at * FAN : (at + 1) * FAN])
-                if level[at] == least:
-                    return
-                level[at], below = least, level
-
-        put = climb if inner else leaves.__setitem__
+        half = 1 << (n - 2).bit_length()  # the tree: node x has the children 2x and 2x + 1, leaf i is node half + i
+        tree = [none] * half + [rank((a << 32) | b, none) for a, b in zip(ids, ids[1:], strict=False)] + [none] * (half - n + 1)
+        for x in range(half - 1, 0, -1):
+            a, b = tree[2 * x], tree[2 * x + 1]
+            tree[x] = a if a < b else b
         after, before = list(range(1, n + 1)), list(range(-1, n))
-        while (r := min(top)) != none:
-            i = top.index(r)
-            for level in levels[-2::-1]:  # down to the leftmost leaf of this rank
-                i = level.index(r, i * FAN)
+        while (r := tree[1]) != none:
+            x = 1
+            while x < half:  # down to the leftmost leaf of this rank
+                x *= 2
+                if tree[x] != r:
+                    x += 1
+            i = x - half
             j = after[i]
             k = after[i] = after[j]
             before[k] = i
-            left, ids[j] = merged[r], -1
-            ids[i] = left
-            if j < n - 1:
-                put(j, none)
-            put(i, rank((left << 32) | ids[k], none) if k < n else none)
+            left = ids[i] = merged[r]
+            ids[j] = -1
             h = before[i]
+            changes = [(x, rank((left << 32) | ids[k], none) if k < n else none)]
+            if k < n:
+                changes.append((half + j, none))
             if h >= 0:
-                put(h, rank((ids[h] << 32) | left, none))
+                changes.append((half + h, rank((ids[h] << 32) | left, none)))
+            for x, value in changes:  # up, as far as a node's least child changes
+                while tree[x] != value:
+                    tree[x] = value
+                    if x == 1:
+                        break
+                    other = tree[x ^ 1]
+                    x >>= 1
+                    if other < value:
+                        value = other
         return [x for x in ids if x >= 0]
 
     def word(self, word: str) -> tuple[int, ...]:
         if (found := self.words.get(word)) is None:
             data = word.encode()
             ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-            self.words.put(word, found := tuple(self.merge(ids)))
+            found = tuple(self.merge(ids))
+            if len(word) <= LONGEST:
+                self.words.put(word, found)
         return found
 
     def chunk(self, chunk: str) -> tuple[int, str, str]:
@@ -134,7 +134,8 @@ class WordBPE:
             text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
             ids = [i for w in self.pieces(text) for i in self.word(w)]
             found = (len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids]))
-            self.chunks.put(chunk, found)
+            if len(chunk) <= LONGEST:
+                self.chunks.put(chunk, found)
         return found
 
     def found(self, text: str) -> list[tuple[int, str, str]]:

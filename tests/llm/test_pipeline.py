@@ -1,9 +1,15 @@
 import inspect
+import os
+import re
+from collections import Counter, defaultdict
+from hashlib import sha256
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siltmark.llm._common import new_folder
+from siltmark.llm._common import cut, new_folder, release, scratch
+from siltmark.llm.bpe import tokenizer_path
 
 
 def test_stages(spark):
@@ -36,3 +42,90 @@ def test_near_dedup_of_rows_without_identifier(spark, top):
     assert found.columns == docs.columns
     kept = [(r.doc_id, (r.text or " ").split(" ")[0]) for r in found.collect()]
     assert sorted(kept, key=str) == sorted([(top, "a0"), (None, "b0"), (None, "c0"), (3, "d0"), (None, ""), (None, "")], key=str)
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def near_classes(rows):
+    """Row numbers of each class of near copies: five words, 0.8; equal identifiers are one document."""
+    sets = []
+    for r in rows:
+        w = WORD.findall((r.text or "").translate(LOWER))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            same = len(a & sets[j])
+            if a and sets[j] and 100 * same >= 80 * (len(a) + len(sets[j]) - same) or rows[i].doc_id is not None and rows[i].doc_id == rows[j].doc_id:
+                up[top(i)] = top(j)
+    found = defaultdict(list)
+    for i in range(len(rows)):
+        found[top(i)].append(i)
+    return found.values()
+
+
+def test_stages_on_odd_rows(spark, docs, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows and clashing names: each stage against brute force on its own input."""
+    from tokenizers import Tokenizer
+
+    odd = docs.withColumn("gone", F.lit(1)).withColumn("node", F.lit("x")).withColumn("kept", F.lit(False))
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int(i < 200), 0) for i in range(220) if i < 12 or i >= 200] + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    sf = str(tmp_path)
+    stages = dict(corpus_pipeline.STAGES)
+    good = stages["quality_classifier"](spark, odd, sf)
+    assert good.columns == odd.columns and set(good.collect()) <= set(odd.collect())
+
+    groups = defaultdict(list)
+    for r in odd.collect():
+        groups[(r.text or "").translate(LOWER)].append(r.doc_id)
+    exact = stages["exact_dedup"](spark, odd, sf).cache()
+    assert exact.columns == odd.columns
+    least = lambda ids: min((i for i in ids if i is not None), default=None)
+    assert Counter(((r.text or "").translate(LOWER), r.doc_id) for r in exact.collect()) == Counter((k, least(v)) for k, v in groups.items())
+
+    near = stages["near_dedup"](spark, exact, sf).cache()
+    assert near.columns == odd.columns
+    rows, kept = exact.collect(), Counter(r.doc_id for r in near.collect())
+    want = Counter()
+    for members in near_classes(rows):
+        want[least([rows[i].doc_id for i in members])] += sum(rows[i].doc_id == least([rows[i].doc_id for i in members]) for i in members)
+    assert kept == want
+
+    mixed = stages["source_mixing"](spark, near, sf).cache()
+    assert mixed.columns == odd.columns
+    whole = {r.doc_id: r.text for r in near.collect()}
+    assert all((whole[r.doc_id] or "").startswith(r.text) for r in mixed.collect())
+
+    own = Tokenizer.from_file(tokenizer_path())
+    found = Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in stages["bpe"](spark, mixed, sf).collect())
+    ids = [(r.doc_id, own.encode(r.text or "", add_special_tokens=False).ids) for r in mixed.collect()]
+    assert found == Counter((i, len(x), sha256(" ".join(map(str, x)).encode()).hexdigest()) for i, x in ids)
+
+
+def test_stages_on_empty_tables(spark, empty, tmp_path):
+    empty.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.count() == 0 and (name == "bpe" or out.columns == empty.columns)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_checkpoints_are_released(spark):
+    folder = lambda df: df._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:")
+    kept = cut(spark.range(5))
+    with scratch():
+        inner = cut(spark.range(5))
+        assert os.path.isdir(folder(inner))
+    assert not os.path.exists(folder(inner)) and kept.count() == 5
+    release(kept, kept)
+    assert not os.path.exists(folder(kept))

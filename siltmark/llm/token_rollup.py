@@ -2,9 +2,9 @@
 
 A batch of changes becomes additive deltas (documents, tokens) by source, language and tokenizer version: an insert
 adds, a delete subtracts, a revised count subtracts what was counted and adds what is counted now, under whichever
-tokenizer version. Deltas are pre-aggregated and written first; then the batch is committed by creating one file
-under its name, which succeeds once. A batch that is sent again, or whose first attempt was lost half-way, so
-counts exactly once.
+tokenizer version. Deltas are pre-aggregated and written first; then the batch is committed by a file under its name, which
+appears whole and succeeds once. A batch that is sent again, or whose first attempt was lost at any point, so counts exactly
+once.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmark.llm._common import new_folder, parquet, words
+from siltmark.llm._common import cut, delete_folder, new_folder, parquet, release, words
+from siltmark.operators.store import publish
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -53,16 +54,10 @@ class TokenRollup:
         return self._publish(batch, data)
 
     def _publish(self, batch: str, data: str) -> bool:
-        try:
-            out = self._fs.create(self._path(f"{self.folder}/commits/{batch}"), False)
-        except Exception as error:  # of the JVM; a file that exists isn't overwritten
-            if "FileAlreadyExists" not in str(error):
-                raise
-            self._fs.delete(self._path(f"{self.folder}/data/{data}"), True)
-            return False
-        out.write(bytearray(data.encode()))
-        out.close()
-        return True
+        if publish(self.spark, f"{self.folder}/commits/{batch}", data):
+            return True
+        self._fs.delete(self._path(f"{self.folder}/data/{data}"), True)
+        return False
 
     def batches(self) -> dict[str, str]:
         """Name -> folder of each committed batch."""
@@ -97,16 +92,20 @@ def op6_token_rollup(spark, sf_dir: str) -> DataFrame:
     docs, labels = parquet(spark, sf_dir, "documents"), parquet(spark, sf_dir, "labels")
     rollup = TokenRollup(spark, new_folder(spark, "rollup"))
     none = F.lit(None).cast("string")
-    told = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    # counted before the join, so that no text is shuffled
-    counted = docs.select("doc_id", "source", "lang", count_words(F.col("text")).alias("first"), count_pieces(F.col("text")).alias("second")).join(told, "doc_id")
-    rollup.commit("inserts", docs.select(F.lit("insert").alias("op"), "source", "lang", F.lit("words-1").alias("tokenizer"), count_words(F.col("text")).alias("n_tokens"), none.alias("old_tokenizer"), F.lit(0).alias("old_tokens")))
+    # one pass over the texts for all batches, before any join, so that no text is shuffled
+    sized = cut(docs.select("doc_id", "source", "lang", count_words(F.col("text")).alias("first"), count_pieces(F.col("text")).alias("second")))
+    rollup.commit("inserts", sized.select(F.lit("insert").alias("op"), "source", "lang", F.lit("words-1").alias("tokenizer"), F.col("first").alias("n_tokens"), none.alias("old_tokenizer"), F.lit(0).alias("old_tokens")))
+    told = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality")).filter("toxic = 1 OR quality = 0")
+    counted = sized.join(told, "doc_id")
     deletes = counted.filter("toxic = 1").select(F.lit("delete").alias("op"), "source", "lang", none.alias("tokenizer"), F.lit(0).alias("n_tokens"), F.lit("words-1").alias("old_tokenizer"), F.col("first").alias("old_tokens"))
     rollup.commit("deletes", deletes)
-    revised = counted.filter("quality = 0 AND toxic = 0")
+    revised = counted.filter("quality = 0 AND coalesce(toxic, 0) <> 1")
     rollup.commit("revised", revised.select(F.lit("revise").alias("op"), "source", "lang", F.lit("pieces-2").alias("tokenizer"), F.col("second").alias("n_tokens"), F.lit("words-1").alias("old_tokenizer"), F.col("first").alias("old_tokens")))
     rollup.commit("deletes", deletes)
-    return rollup.totals()
+    release(sized)
+    totals = cut(rollup.totals())
+    delete_folder(spark, rollup.folder)  # a rollup of its own for this query
+    return totals
 
 
 OP6_SQL = r"""

@@ -7,12 +7,14 @@ import re
 from collections import Counter, defaultdict
 from hashlib import sha1, sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from siltmark.llm import near_dedup, pii, quality_classifier, secret_scan, token_rollup, warc
 from siltmark.llm._common import new_folder
 from siltmark.llm.bpe import WordBPE, encode_documents, tokenizer_path
+from siltmark.operators.store import publish
 
 
 def count(df, *cols):
@@ -140,6 +142,41 @@ def test_classifier_held_out(spark):
     assert good.columns == docs.columns and good.count() == sum(r.predicted for r in found)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_classifier_equals_a_plain_fit(seed):
+    """Bradley-Terry strengths that are linear in the features, by Newton's method on the same preferences."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(300, len(quality_classifier.FEATURES)))
+    good = x[:, 0] + 0.5 * x[:, 3] ** 2 + rng.normal(size=300) > 0.4
+    model = quality_classifier.fit(x, good, pairs=3000, penalty=1e-3, steps=4000)
+    z = quality_classifier.expanded((x - x.mean(0)) / (x.std(0) + 1e-6))
+    a, b = quality_classifier.preferences(np.flatnonzero(good), np.flatnonzero(~good), 3000, 3)
+    d, w = z[a] - z[b], np.zeros(z.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(d @ w))
+        slope = -(d * p[:, None]).mean(0) + 1e-3 * w
+        w -= np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(len(w)), slope)
+    assert np.abs(model.weights - w).max() < 0.02 and np.corrcoef(model.raw(x), z @ w)[0, 1] > 0.9999
+    # the cut: no quantile of these scores keeps fewer bad and loses fewer good ones
+    raw = z @ model.weights
+    lost = lambda c: ((raw < c) & good).mean() + ((raw >= c) & ~good).mean()
+    assert lost(model.cut) <= min(map(lost, raw)) + 1e-12
+
+
+def test_classifier_on_odd_rows(spark, docs, rows):
+    """Nulls, long and empty texts score between 0 and 1, the same for equal texts; repeated identifiers count once in the fit."""
+    marks = spark.createDataFrame([(i, int(i < 100)) for i, *_ in rows if i is not None and (i < 12 or 200 <= i < 300)], "doc_id long, quality int")
+    found = quality_classifier.score_documents(docs, marks).collect()
+    texts = defaultdict(set)
+    for r in found:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) and (r.doc_id is not None or r.held_out)
+        texts[r.doc_id].add(r.score)
+    assert len(found) == len(rows) and texts[400] == texts[401] == texts[402] and len(texts[407]) == 1
+    again = docs.unionByName(docs.filter("doc_id < 12").select(*docs.columns))
+    same = {r.doc_id: r.score for r in quality_classifier.score_documents(again, marks).collect()}
+    assert all(abs(same[i] - next(iter(s))) < 1e-9 for i, s in texts.items() if i is not None and len(s) == 1)
+
+
 def test_classifier_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality_classifier.score_documents(docs, none).filter("predicted = 0").isEmpty()
@@ -387,3 +424,56 @@ def test_rollup_is_idempotent(spark):
     assert count(rollup.totals(), "source", "lang", "tokenizer", "n_docs", "n_tokens") == Counter({("a", "en", "v2", 1, 12): 1, ("b", "en", "v1", 1, 0): 1})
     again = token_rollup.TokenRollup(spark, rollup.folder)
     assert again.totals().count() == 2 and not again._publish("two", "x")
+
+
+def test_rollup_survives_crashes(spark, monkeypatch):
+    cols = "op string, source string, lang string, tokenizer string, n_tokens long, old_tokenizer string, old_tokens long"
+    rows = spark.createDataFrame([("insert", "a", "en", "v1", 7, None, None)], cols)
+    rollup = token_rollup.TokenRollup(spark, new_folder(spark, "rollup-test"))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:  # after the data, before the commit
+        m.setattr(token_rollup, "publish", dies)
+        with pytest.raises(RuntimeError):
+            rollup.commit("one", rows)
+    assert rollup.totals().count() == 0
+    real = spark._jvm.org.apache.hadoop.fs
+    half = f"{rollup.folder}/commits/.one.half"  # the commit was being written
+    rollup._fs.create(real.Path(half), False).close()
+    assert rollup.batches() == {} and rollup.commit("one", rows) and not rollup.commit("one", rows)
+    assert count(rollup.totals(), "source", "n_docs", "n_tokens") == Counter({("a", 1, 7): 1})
+    with monkeypatch.context() as m:  # after the commit
+        m.setattr(token_rollup, "publish", lambda *x: publish(*x) and dies())
+        with pytest.raises(RuntimeError):
+            rollup.commit("two", rows)
+    assert not rollup.commit("two", rows)
+    assert count(rollup.totals(), "source", "n_docs", "n_tokens") == Counter({("a", 2, 14): 1})
+    # of two writers of one batch that both got past the first look, one counts
+    assert not publish(spark, f"{rollup.folder}/commits/two", "other") and rollup.totals().first().n_tokens == 14
+
+
+def test_warc_headers(spark, monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(warc, "HEADER", 1 << 20)
+    good = [warc.record(i, "u", b"x%d" % i) for i in range(2)]
+    long = gzip.compress(b"WARC/1.1\r\nWARC-Target-URI: " + b"u" * 5_000_000 + b"\r\n\r\n")
+    found = list(warc.records(io.BytesIO(good[0] + long + good[1])))
+    assert [r["valid"] for r in found] == [True, False, True] and "more than" in found[1]["error"]
+    block = b"HTTP/1.1 200 OK\r\n" + b"X: y\r\n" * 200_000  # whose HTTP header never ends: there is no payload
+    text = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n" % len(block)
+    odd = list(warc.records(io.BytesIO(gzip.compress(text + block + b"\r\n\r\n") + good[1])))
+    assert [(r["valid"], r["payload_bytes"]) for r in odd] == [(True, 0), (True, 2)]
+    for n in range(8, 70):  # the header's end may fall between any two pieces
+        monkeypatch.setattr(warc, "PIECE", n)
+        assert [(r["valid"], r["payload_bytes"]) for r in warc.records(io.BytesIO(b"".join(good)))] == [(True, 2)] * 2
+
+
+def test_warc_settings_stay(spark):
+    folder = new_folder(spark, "warc-test")
+    warc.write_archives(pages(spark)[1], folder)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    assert warc.read_warc(spark, folder).count() == 10 and spark.conf.get(key) == before

@@ -1,15 +1,17 @@
 """Exact dedup, mixing and quality rules against plain Python."""
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from hashlib import sha256
+from itertools import permutations
 
 import pytest
 from pyspark.sql import functions as F
 
 from siltmark.llm.exact_dedup import content_sort_dedup, range_of, splitters
 from siltmark.llm.mixing import mix_sources, mixed_documents
-from siltmark.llm.quality_rules import measured, quality_cascade, rule_order
+from siltmark.llm.quality_rules import SHOWN, measured, measures, passes, quality_cascade, rule_order
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -125,10 +127,31 @@ def test_quality_measures(spark, docs, rows):
 
 
 def test_cascade_verdict_is_order_free(docs):
-    rules = {"short": F.col("n_words") < 20, "symbols": F.col("n_symbols") > 2, "never": F.lit(None).cast("boolean")}
-    found = quality_cascade(docs, rules=rules)
-    expected = measured(docs).filter("n_words >= 20 AND n_symbols <= 2").count()
-    assert found.filter("kept").count() == expected
-    assert found.filter("kept AND first_failed IS NOT NULL").isEmpty()
-    order = rule_order(measured(docs.select("doc_id", "text")), rules)
+    rules = {"short": lambda m: m["n_words"] < 20, "symbols": lambda m: m["n_symbols"] > 2, "never": lambda m: F.lit(None).cast("boolean")}
+    want = Counter((r[0],) for r in measured(docs).filter("n_words >= 20 AND n_symbols <= 2").select("row.doc_id").collect())
+    for shown in ((), ("n_words", "n_repeat_words")):
+        found = quality_cascade(docs, rules=rules, shown=shown)
+        assert found.columns == ["row", *shown, "kept"] and count(found.filter("kept"), F.col("row.doc_id")) == want
+    sample = measured(docs.select("doc_id", "text"))
+    found = {name: rule(measures()) for name, rule in rules.items()}
+    order = rule_order(sample, found)
     assert {x[0] for x in order} == set(rules) and order[0][0] == "short"  # the others reject nothing here
+    assert all(sample.select(passes(list(o), found).alias("ok")).filter("ok").count() == sum(want.values()) for o in permutations(rules))
+
+
+def plain_verdict(text):
+    """All rules on one text, from their descriptions."""
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat = plain_measures(text)
+    text, lines = text or "", [x for x in (text or "").split("\n") if WORD.search(x)]
+    upper, distinct = sum(unicodedata.category(c) == "Lu" for c in text), len(set(WORD.findall(text)))
+    bad = [n_words < 20, n_repeat * 100 > n_words * 30, n_symbols * 3 > n_words, word_chars < 2 * n_words or word_chars > 25 * n_words, n_dup_lines * 2 > len(lines), upper > 0.4 * word_chars, text.count("!") * 4 > n_words, distinct**2 < n_words]
+    return not any(bad)
+
+
+def test_verdicts(spark, docs, rows):
+    more = ["one two three four five six seven eight nine ten " * 2 + "a b", "AB CD " * 3 + " ".join(f"X{i}Y" for i in range(30)), " ".join(f"w{i}!" for i in range(30)), " ".join(f"w{i % 5}" for i in range(40)), " ".join(f"w{i * i % 41}x" for i in range(40)), "\n".join(["same line of words"] * 9), " ".join("x" * 30 + str(i) for i in range(25))]
+    df = docs.unionByName(spark.createDataFrame([(1000 + i, t) for i, t in enumerate(more)], "doc_id long, text string"), allowMissingColumns=True)
+    want = Counter((i, plain_verdict(t)) for i, t in [(r[0], r[1]) for r in rows] + [(1000 + i, t) for i, t in enumerate(more)])
+    assert count(quality_cascade(df), F.col("row.doc_id"), "kept") == want
+    assert count(quality_cascade(df, shown=SHOWN), F.col("row.doc_id"), "kept") == want
+    assert {k for _, k in want} == {True, False}

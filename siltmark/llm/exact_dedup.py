@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from siltmark.llm._common import ascii_lower, cut, let, parquet, partitions
 
 PREFIX = 64
-#: Sampled rows for each range; the driver holds so many places of at most 100 characters or so.
+#: Bytes of text that a range should hold, and the most ranges; beyond that they grow, and their sorts spill.
+RANGE_BYTES, MOST_RANGES = 1 << 26, 20_000
+#: Sampled rows for each range; the driver holds so many places of 100 characters or so.
 SAMPLED = 32
 _HASHED = ("tinyint", "smallint", "int", "bigint", "float", "double", "string", "binary", "boolean", "date", "timestamp", "timestamp_ntz", "decimal")
 
@@ -58,17 +60,22 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Texts are equal when identical after lower-casing A-Z only; null counts as empty. ``keep`` says whether the
     smallest or the largest identifier stays. Null identifiers stay only where a group has no other. Of repeated
     rows with the same identifier and text one stays. An empty table gives no rows. Other columns, whatever
-    their names, travel inside ``row``. There are as many ranges as shuffle partitions, if not given.
+    their names, travel inside ``row``. If not given, there are as many
+    ranges as shuffle partitions, and more where they would be long.
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is min or max")
-    ranges = ranges or partitions(docs.sparkSession)
     norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
     others = [F.col(c) for c, kind in docs.dtypes if c != text_col and kind.split("(")[0] in _HASHED]
     place = F.concat(content_place(norm), F.hex(F.xxhash64(*others) if others else F.lit(0)))
-    wanted = SAMPLED * ranges
-    sample = docs.sample(False, min(1.0, wanted / max(1, docs.count())), seed).select(place.alias("place"))
-    bounds, shared = splitters([r.place for r in sample.collect()], ranges)
+    rows = max(1, docs.count())
+    sampled = lambda n: docs.sample(False, min(1.0, SAMPLED * n / rows), seed).select(place.alias("place"), F.octet_length(norm).alias("bytes")).collect()
+    sample = sampled(ranges or partitions(docs.sparkSession))
+    if not ranges:
+        ranges = max(partitions(docs.sparkSession), min(MOST_RANGES, rows * sum(r.bytes for r in sample) // max(1, len(sample)) // RANGE_BYTES))
+        if ranges > partitions(docs.sparkSession):
+            sample = sampled(ranges)
+    bounds, shared = splitters([r.place for r in sample], ranges)
 
     near = F.substring(norm, 1, PREFIX).isin(sorted({c[: c.index("\0")] for c in shared})) if shared else F.lit(False)
     long_runs = docs.filter(near).filter(content_place(norm).isin(shared) if shared else F.lit(False))

@@ -7,12 +7,16 @@ joins on rel_path.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltmark.functions import tokenized
 from siltmark.functions.ids import fallback_ref
 from siltmark.functions.tables import embedding_parts, is_pure_table, row_count, split_oversized, table_text
 from siltmark.functions.text import is_useful, normalized, strip
+from siltmark.functions.tokenized import Counter
 
 ITEMS = "rel_path string, raw int, ord int, kind string, self_ref string, headings array<string>, text string, caption string"
 
@@ -24,13 +28,13 @@ def clean_headings(headings: Column) -> Column:
 def mixed_order(items: DataFrame) -> DataFrame:
     """Items with repeats gone: (rel_path, raw, ord, kind, ref, headings, text, caption), prose between two tables in one row.
 
-    Of a table, and of a prose item that stands beside tables, only the first mention counts. A stretch
-    without tables is one text, under its headings.
+    Of a table, and of a prose item that stands beside tables, only the first mention counts; prose without a reference
+    is never a repeat. A stretch without tables is one text, under its headings.
     """
     place = Window.partitionBy("rel_path", "kind", "self_ref").orderBy("raw", "ord")
     stretch = Window.partitionBy("rel_path", "raw")
     told = items.withColumn("headings", clean_headings(F.col("headings"))).withColumn("mixed", F.max(F.col("kind") == "table").over(stretch))
-    counted = told.withColumn("nth", F.when((F.col("kind") == "table") | F.col("mixed"), F.row_number().over(place.partitionBy("rel_path", "kind", "mixed", "self_ref"))).otherwise(1))
+    counted = told.withColumn("nth", F.when((F.col("kind") == "table") | (F.col("mixed") & F.col("self_ref").isNotNull()), F.row_number().over(place.partitionBy("rel_path", "kind", "mixed", "self_ref"))).otherwise(1))
     counted = counted.withColumn("island", F.sum((F.col("kind") == "table").cast("int")).over(stretch.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)))
     first = counted.filter("nth = 1")
     tables = first.filter("kind = 'table'").select("rel_path", "raw", "ord", "kind", F.col("self_ref").alias("ref"), "headings", strip("text").alias("text"), "caption")
@@ -61,12 +65,43 @@ def table_invariant(chunks: DataFrame, registry: DataFrame) -> DataFrame:
     return every.select("rel_path", "ref", F.coalesce("n", F.lit(0)).alias("n")).filter("n <> 1")
 
 
-def assemble_chunks(items: DataFrame, max_tokens: int, registry: DataFrame | None = None) -> DataFrame:
+_MERGED = "struct<out:array<struct<first:int,n:int>>,first:int,n:int,len:int,raw:int,headings:array<string>,prose:boolean>"
+
+
+def merge_peers(items: DataFrame, max_tokens: int) -> DataFrame:
+    """Items in which neighbouring stretches of prose under the same headings are one, as long as their joined text fits the budget.
+
+    Stretches are numbered anew from 0. A stretch with a table stays as it is. One fold over the items of each document.
+    """
+    others = [c for c in items.columns if c not in ("rel_path", "raw", "ord")]
+    length = F.char_length(F.concat_ws("\n", clean_headings(F.col("headings")), F.coalesce("text", F.lit("")))).alias("len")
+    told = items.select("rel_path", F.struct("raw", "ord", clean_headings(F.col("headings")).alias("key"), (F.col("kind") != "table").alias("prose"), length, F.struct(*others).alias("rest")).alias("x"))
+    documents = told.groupBy("rel_path").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    state = lambda out, first, n, len_, x, prose: F.struct(out.alias("out"), first.alias("first"), n.alias("n"), len_.alias("len"), x["raw"].alias("raw"), x["key"].alias("headings"), prose.alias("prose")).cast(_MERGED)
+    closed = lambda a: F.when(a["n"] > 0, F.array_append(a["out"], F.struct(a["first"].alias("first"), a["n"].alias("n")))).otherwise(a["out"])
+
+    def step(a: Column, x: Column) -> Column:
+        joined = a["len"] + 2 + x["len"]
+        peers = a["prose"] & x["prose"] & (a["headings"] == x["key"]) & (F.floor((joined + 3) / 4) <= max_tokens)
+        return F.when((a["n"] > 0) & ((a["raw"] == x["raw"]) | peers), state(a["out"], a["first"], a["n"] + 1, joined, x, a["prose"] & x["prose"])).otherwise(state(closed(a), x["i"], F.lit(1), x["len"], x, x["prose"]))
+
+    zero = F.lit(0)
+    start = F.struct(F.array().cast("array<struct<first:int,n:int>>").alias("out"), zero.alias("first"), zero.alias("n"), zero.alias("len"), zero.alias("raw"), F.array().cast("array<string>").alias("headings"), F.lit(True).alias("prose")).cast(_MERGED)
+    placed = F.transform("xs", lambda x, i: F.struct(x["raw"].alias("raw"), x["key"].alias("key"), x["prose"].alias("prose"), x["len"].alias("len"), i.alias("i")))
+    runs = documents.select("rel_path", "xs", F.posexplode(F.aggregate(placed, start, step, closed)).alias("stretch", "run"))
+    each = runs.select("rel_path", "stretch", F.posexplode(F.slice("xs", F.col("run.first") + 1, F.col("run.n"))).alias("at", "x"))
+    return each.select("rel_path", F.col("stretch").alias("raw"), F.col("at").alias("ord"), "x.rest.*").select(*items.columns)
+
+
+def assemble_chunks(items: DataFrame, max_tokens: int, registry: DataFrame | None = None, tokenizer: Counter | None = None) -> DataFrame:
     """Chunks (rel_path, chunk_no, text, headings, atomic, chunk_type, table_ref, embedding_parts, row_count, error).
 
     registry (rel_path, ref, text, caption) names the tables that the document must show; those that no item mentions
     are added. A table without useful text, or a broken invariant, fails its document: each of its rows then has error.
+    The budget counts a token for every four characters, or what the tokenizer says.
     """
+    split = split_oversized if tokenizer is None else partial(tokenized.split_oversized, count=tokenizer)
+    parted = embedding_parts if tokenizer is None else partial(tokenized.embedding_parts, count=tokenizer)
     placed = mixed_order(items)
     if registry is not None:
         last = F.lit(1 << 30)
@@ -75,12 +110,16 @@ def assemble_chunks(items: DataFrame, max_tokens: int, registry: DataFrame | Non
         extra = missing.select("rel_path", last.alias("raw"), F.row_number().over(order).alias("ord"), F.lit("table").alias("kind"), "ref", F.array().cast("array<string>").alias("headings"), strip("text").alias("text"), "caption")
         placed = placed.unionByName(extra)
     tables = placed.filter("kind = 'table'").withColumn("pos", F.struct("raw", "ord", F.lit(-1).alias("k")))
-    prose = placed.filter("kind = 'prose'").select("rel_path", "raw", "ord", "headings", F.posexplode(split_oversized(F.col("text"), max_tokens)).alias("k", "piece"))
+    prose = placed.filter("kind = 'prose'").select("rel_path", "raw", "ord", "headings", F.posexplode(split(F.col("text"), max_tokens)).alias("k", "piece"))
     prose = prose.filter(is_useful(F.col("piece"))).withColumn("pos", F.struct("raw", "ord", "k"))
     gone = residual_fragments(prose.select("rel_path", "pos", "piece"), tables).select("rel_path", "pos")
     prose = prose.join(gone, ["rel_path", "pos"], "left_anti").withColumn("pure", is_pure_table(F.col("piece")))
 
-    failed = tables.filter(~is_useful(F.col("text"))).select("rel_path", F.lit("a table without useful text").alias("error")).distinct()
+    failed = tables.filter(~is_useful(F.col("text"))).select("rel_path", F.lit("a table without useful text").alias("error"))
+    if registry is not None:
+        broken = table_invariant(tables.select("rel_path", F.lit("table").alias("chunk_type"), F.col("ref").alias("table_ref")), registry)
+        failed = failed.union(broken.select("rel_path", F.lit("a table that is missing or occurs twice").alias("error")))
+    failed = failed.groupBy("rel_path").agg(F.min("error").alias("error"))
     table_rows = tables.select("rel_path", "pos", "headings", F.lit(True).alias("is_table"), "ref", F.col("text").alias("markdown"), F.coalesce("caption", F.lit("")).alias("caption"))
     prose_rows = prose.select("rel_path", "pos", "headings", F.col("pure").alias("is_table"), F.lit(None).cast("string").alias("ref"), F.col("piece").alias("markdown"), F.lit("").alias("caption"))
     order = Window.partitionBy("rel_path").orderBy("pos")
@@ -89,7 +128,7 @@ def assemble_chunks(items: DataFrame, max_tokens: int, registry: DataFrame | Non
     chunks = every.select(
         "rel_path", "chunk_no", F.when(table, table_text(md, F.col("caption"))).otherwise(md).alias("text"), "headings", table.alias("atomic"),
         F.when(table, "table").otherwise("prose").alias("chunk_type"), F.when(table, F.coalesce("ref", fallback_ref(md, F.col("chunk_no")))).alias("table_ref"),
-        F.when(table, embedding_parts(md, F.col("headings"), F.col("caption"), max_tokens)).otherwise(F.array().cast("array<string>")).alias("embedding_parts"),
+        F.when(table, parted(md, F.col("headings"), F.col("caption"), max_tokens)).otherwise(F.array().cast("array<string>")).alias("embedding_parts"),
         F.when(table, row_count(md)).otherwise(0).alias("row_count"),
     )
     return chunks.join(failed, "rel_path", "left")

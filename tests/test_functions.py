@@ -9,7 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from siltmark.functions import ids, paths, tables, text, vectors
+from siltmark.functions import ids, paths, tables, text, tokenized, vectors
 from siltmark.schema import SUPPORTED
 
 
@@ -164,3 +164,50 @@ def test_table_parts(spark):
 def test_pictures(spark):
     assert values(spark, ["d", " ", None], lambda x: text.picture_block(x, F.lit("k"))) == ["[Изображение]\nОписание: d\nПодпись: k", "", ""]
     assert values(spark, ['{"choices":[{"message":{"content":"abc"}}]}', "{", None, '{"choices":[]}'], text.json_content_length) == [3, 0, 0, 0]
+
+
+def test_a_tokenizer_that_counts_characters_changes_nothing(spark):
+    """The packing in Python against that in the JVM, with the same count."""
+    tokens = lambda t: max(1, (len(t) + 3) // 4)  # noqa: E731  shipped by value
+    rng = random.Random(7)
+    sample = texts(60, 8) + ["\n".join(rng.choice(ROWS) for _ in range(rng.randint(0, 12))) for _ in range(60)] + ["| a | b |\n|---|---|\n" + "\n".join(f"| {i} | {'v' * rng.randint(1, 150)} |" for i in range(8)) for _ in range(10)]
+    assert values(spark, sample, lambda x: tokenized.split_oversized(x, 20, tokens)) == values(spark, sample, lambda x: tables.split_oversized(x, 20))
+    heads = F.array(F.lit("H"))
+    assert values(spark, sample, lambda x: tokenized.embedding_parts(x, heads, F.lit("c"), 24, tokens)) == values(spark, sample, lambda x: tables.embedding_parts(x, heads, F.lit("c"), 24))
+    assert values(spark, [*sample, None], lambda x: tokenized.token_count(x, tokens)) == [*map(tokens, sample), None]
+
+
+def test_a_tokenizer_file(tmp_path):
+    import pickle
+
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    own = Tokenizer(models.WordLevel({"a": 0, "b": 1, "?": 2}, unk_token="?"))
+    own.pre_tokenizer = pre_tokenizers.Whitespace()
+    own.save(str(tmp_path / "t.json"))
+    count = pickle.loads(pickle.dumps(tokenized.FileCounter(str(tmp_path / "t.json"))))
+    assert count("a b xyz a") == 4 and count("") == 0
+
+
+def test_lines_of_tables(spark):
+    rng = random.Random(11)
+    bits = ["|", "-", "--", "---", ":", " ", "\t", "a", "", "\xa0"]
+    sample = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(2000)] + ROWS
+    row = [bool(re.match(r"^\|.*\|$", x.strip())) for x in sample]
+    rule = [bool(re.match(r"^\s*\|?\s*:?-{2,}:?\s*(\|\s*:?-{2,}:?\s*)+\|?\s*$", x)) for x in sample]
+    assert [tables.row_line(x) for x in sample] == row == values(spark, sample, tables.is_row)
+    assert [tables.separator_line(x) for x in sample] == rule == values(spark, sample, tables.is_separator) and sum(rule) > 10
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    blanks = "a" + " " * 1_000_000 + "b" + "\n" * 1_000_000
+    table = "before\n| a | b |\n|---|---|\n" + "\n".join(f"| {i} | v |" for i in range(100_000)) + "\nafter"
+    prose = "\n\n".join(f"paragraph {i} " + "word " * 20 for i in range(20_000))
+    began = time.time()
+    assert values(spark, [blanks], lambda x: F.length(text.strip(x))) == [1_000_002]
+    assert values(spark, [table], lambda x: F.transform(tables.content_blocks(x), lambda b: F.length(b["text"]))) == [[6, len(table) - 13, 5]]
+    assert values(spark, [table], tables.row_count) == [100_000]
+    assert values(spark, [prose], lambda x: F.size(text.split_prose(x, 1 << 20))) == [1] and values(spark, [prose], lambda x: F.size(text.split_prose(x, 64)))[0] > 9000
+    assert time.time() - began < 90

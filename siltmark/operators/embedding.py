@@ -28,8 +28,8 @@ def stub_embedder(inputs: Column) -> Column:
     return F.transform(inputs, stub_vector)
 
 
-def python_embedder(embed: Callable[[list[str]], list[list[float]]], batch: int = 64) -> Callable[[Column], Column]:
-    """An embedder from a function of texts to vectors, called with at most ``batch`` texts; what it raises fails the row, not the job."""
+def python_embedder(embed: Callable[[list[str]], list[list[float]]], most: int | None = None) -> Callable[[Column], Column]:
+    """An embedder from a function of texts to vectors, called once for a document, or for each ``most`` of its texts; what it raises fails the document, not the job."""
 
     @F.pandas_udf("array<array<double>>")
     def run(inputs: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -37,29 +37,36 @@ def python_embedder(embed: Callable[[list[str]], list[list[float]]], batch: int
             out = []
             for texts in rows:
                 try:
-                    vectors = []
-                    for i in range(0, len(texts), batch):
-                        vectors += embed(list(texts[i : i + batch]))
+                    vectors, step = [], most or max(1, len(texts))
+                    for i in range(0, len(texts), step):
+                        vectors += embed(list(texts[i : i + step]))
                     out.append([[float(x) for x in v] for v in vectors])
                 except Exception:  # noqa: BLE001  the document keeps its old points
                     out.append(None)
             yield pd.Series(out)
 
-    return run
+    return run.asNondeterministic()  # so that no request is made twice for one place in a plan
 
 
 def embed_chunks(chunks: DataFrame, embedder: Callable[[Column], Column] = stub_embedder) -> DataFrame:
-    """chunks (rel_path, file_hash, chunk_no, text, embedding_parts, ...) with chunk_index, vector and failed.
+    """chunks (rel_path, chunk_no, text, embedding_parts, ...) with chunk_index, vector and failed.
 
-    chunk_index counts a document's useful chunks from 0. A document fails as a whole when the embedder fails, when it
-    returns another number of vectors than it got texts, or when a chunk's vectors have no mean.
+    The embedder gets all texts of a document at once. chunk_index counts a document's useful chunks from 0. A document fails as a
+    whole when the embedder fails, when it returns another number of vectors than it got texts, or when a chunk's vectors have
+    no mean.
     """
-    order = Window.partitionBy("rel_path").orderBy("chunk_no")
-    numbered = useful_chunks(chunks).withColumn("chunk_index", F.row_number().over(order) - 1)
-    asked = numbered.withColumn("inputs", embedding_inputs(F.col("text"), F.col("embedding_parts"))).withColumn("vectors", embedder(F.col("inputs")))
-    vector = F.when(F.size("vectors") == F.size("inputs"), vector_mean(F.col("vectors")))
-    judged = asked.withColumn("vector", vector).drop("inputs", "vectors")
-    return judged.withColumn("failed", F.max(F.col("vector").isNull()).over(Window.partitionBy("rel_path")))
+    names = [c for c in chunks.columns if c != "rel_path"]
+    inputs = embedding_inputs(F.col("text"), F.col("embedding_parts"))
+    useful = useful_chunks(chunks).select("rel_path", F.struct("chunk_no", F.struct(*names).alias("chunk"), inputs.alias("inputs")).alias("c"))
+    documents = useful.groupBy("rel_path").agg(F.array_sort(F.collect_list("c")).alias("cs"))  # a document's own chunks
+    documents = documents.withColumn("vectors", embedder(F.flatten(F.transform("cs", lambda c: c["inputs"]))))
+    ends = F.aggregate("cs", F.array(F.lit(0)), lambda a, c: F.array_append(a, F.element_at(a, -1) + F.size(c["inputs"])))
+    documents = documents.withColumn("ends", ends).withColumn("complete", F.size("vectors") == F.element_at("ends", -1))
+    at = lambda i: F.get("ends", i)
+    vector = lambda i: F.when(F.col("complete"), vector_mean(F.slice("vectors", at(i) + 1, at(i + 1) - at(i))))
+    made = F.transform("cs", lambda c, i: F.struct(i.alias("chunk_index"), c["chunk"].alias("chunk"), vector(i).alias("vector")))
+    documents = documents.select("rel_path", made.alias("made")).withColumn("failed", F.exists("made", lambda m: m["vector"].isNull()))
+    return documents.select("rel_path", "failed", F.explode("made").alias("m")).select("rel_path", *[F.col(f"m.chunk.{c}").alias(c) for c in names], "m.chunk_index", "m.vector", "failed")
 
 
 def same_dimension(embedded: DataFrame) -> DataFrame:

@@ -147,27 +147,30 @@ def apply_changes(changes: DataFrame, disk: DataFrame, indexed: DataFrame, allow
 
 
 def _above(rows: DataFrame, path: str) -> DataFrame:
-    """The rows once for each directory above their path and for the path itself, as (above, itself): prefixes can so be looked up by equality."""
+    """The rows once for the path itself and for each directory above it, as ``above``: prefixes can so be looked up by equality."""
     steps = F.split(path, "/")
     each = rows.select("*", F.explode(F.sequence(F.lit(1), F.size(steps))).alias("n"))
-    return each.withColumn("above", F.array_join(F.slice(steps, F.lit(1), F.col("n")), "/")).withColumn("itself", F.col("n") == F.size(steps)).drop("n")
+    return each.withColumn("above", F.array_join(F.slice(steps, F.lit(1), F.col("n")), "/")).drop("n")
 
 
-def _clean(deletes: DataFrame) -> DataFrame:
-    path = F.when(F.col("is_prefix"), F.regexp_replace("path", "^/+|/+$", "")).otherwise(F.col("path"))
-    return deletes.select(F.col("seq").alias("dseq"), path.alias("dpath"), "is_prefix").filter("dpath <> ''")
+def _hit(rows: DataFrame, deletes: DataFrame, path: str, when: Column | None = None) -> DataFrame:
+    """The rows whose path a delete covers, at the time that ``when`` says. Only prefixes make rows for directories."""
+    given = deletes.select(F.col("seq").alias("dseq"), "path", "is_prefix")
+    files = given.filter("NOT is_prefix AND path <> ''").select("dseq", F.col("path").alias("dpath"))
+    prefixes = given.filter("is_prefix").select("dseq", F.regexp_replace("path", "^/+|/+$", "").alias("dpath")).filter("dpath <> ''")
+    timed = F.lit(True) if when is None else when
+    below = _above(rows, path).join(prefixes, (F.col("above") == F.col("dpath")) & timed, "left_semi").drop("above")
+    return rows.join(files, (F.col(path) == F.col("dpath")) & timed, "left_semi").union(below).distinct()
 
 
 def _uncovered(rows: DataFrame, deletes: DataFrame, path: str, when: Column) -> DataFrame:
     """The rows (seq, path, target) whose path no delete covers at the time that ``when`` says."""
-    hit = _above(rows, path).join(_clean(deletes), (F.col("above") == F.col("dpath")) & (F.col("itself") | F.col("is_prefix")) & when, "left_semi")
-    return rows.join(hit.select("seq", "path").distinct(), ["seq", "path"], "left_anti")
+    return rows.join(_hit(rows, deletes, path, when).select("seq", "path").distinct(), ["seq", "path"], "left_anti")
 
 
 def _covered(indexed: DataFrame, deletes: DataFrame) -> DataFrame:
     """(source_path) of the indexed sources that a delete covers."""
-    rows = _above(indexed.select("source_path"), "source_path")
-    return rows.join(_clean(deletes), (F.col("above") == F.col("dpath")) & (F.col("itself") | F.col("is_prefix")), "left_semi").select("source_path").distinct()
+    return _hit(indexed.select("source_path"), deletes, "source_path")
 
 
 def _ordered_targets(valid: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 from pathlib import Path
 from typing import Annotated, Any, Literal
 
-from pydantic import BaseModel, ConfigDict, Field, SecretStr, field_validator
+from pydantic import AliasChoices, BaseModel, ConfigDict, Field, SecretStr, field_validator
 
 from siltmark.functions.paths import resolve_extensions
 
@@ -16,20 +16,24 @@ class Part(BaseModel):
 
 
 class IndexSettings(Part):
-    path: str = "./index"
-    collection: str = "documents"
+    path: str = Field("./index", validation_alias=AliasChoices("path", "url"))
+    collection: str = "docs"
 
 
 class ModelSettings(Part):
-    base_url: str = "http://127.0.0.1:11434"
+    """Models are asked over HTTP. tokenizer is the path of a tokenizer file that counts a chunk's tokens; without one, four characters are a token."""
+
+    base_url: str = Field("http://127.0.0.1:11434", validation_alias=AliasChoices("base_url", "ollama_base_url"))
     embedding_model: str = "nomic-embed-text"
     embedding_timeout_sec: float = 120.0
     chunk_size: int = Field(1024, gt=0)
-    vlm_base_url: str = ""
-    vlm_model: str = ""
+    tokenizer: str = ""
+    picture_description_enabled: bool = True
+    picture_area_threshold: float = 0.02
+    vlm_model: str = "qwen3-vl:8b"
     vlm_timeout_sec: float = 90.0
     vlm_concurrency: int = 2
-    vlm_prompt: str = "Опиши изображение кратко и точно."
+    vlm_prompt: str = "Опиши это изображение из документа так, чтобы его можно было найти: что на нём, какие видны надписи и подписи. Только то, что видно."
 
 
 class LocalSource(Part):
@@ -57,8 +61,8 @@ class Settings(BaseModel):
     model_config = ConfigDict(extra="ignore")
 
     source: Annotated[LocalSource | SmbSource, Field(discriminator="kind")] = LocalSource()
-    index: IndexSettings = IndexSettings()
-    models: ModelSettings = ModelSettings()
+    index: IndexSettings = Field(default_factory=IndexSettings)
+    models: ModelSettings = Field(default_factory=ModelSettings)
     index_extensions: str = ""
     log_level: str = "INFO"
 
@@ -104,13 +108,20 @@ def read_env_file(path: str | Path) -> dict[str, str]:
     return found
 
 
+#: Names under which settings are found too; ``url`` of the index is the folder that holds it.
+OTHER_NAMES = {"qdrant": "index"}
+
+
 def load_settings(env_file: str | Path | None = ".env", environ: dict[str, str] | None = None, **overrides: Any) -> Settings:
-    known = set(Settings.model_fields)
+    known = {*Settings.model_fields, *OTHER_NAMES}
     layers = [read_env_file(env_file) if env_file else {}, dict(os.environ if environ is None else environ)]
     data: dict[str, Any] = {}
     for layer in layers:
         data = _merged(data, {k: v for k, v in _nested(layer).items() if k in known})
     data = _merged(data, overrides)
+    for name, own in OTHER_NAMES.items():
+        if name in data:
+            data[own] = _merged(data.pop(name), data.get(own, {}))
     source = data.get("source")
     if isinstance(source, dict) and "kind" not in source:
         source["kind"] = "smb" if "server" in source else "local"

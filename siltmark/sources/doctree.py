@@ -1,20 +1,26 @@
-"""A data source that lists document trees: spark.read.format("doctree").load(root).
+"""A data source that lists document trees, spark.read.format("doctree").load(root), and readers of what it lists.
 
 Spark's own file sources leave out names with a leading underscore, what lies in hidden directories, and empty files, all
-of which belong to a tree here. Each entry of the root is listed by a task of its own; symbolic links to files
-count, those to directories aren't followed. With ``content`` true files are read too.
+of which belong to a tree here. Directories are looked into from the root down until there are enough to list
+in parallel; symbolic links to files count, those to directories aren't followed. Files are read apart from listing, dealt
+evenly over tasks. The root is a path that driver and executors share.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from siltmark.functions.paths import is_indexable, parse_extensions
-from siltmark.schema import SUPPORTED
+from siltmark.schema import INDEX_VERSION, READ_BLOCK, SUPPORTED
+
+#: Directories to have before listing goes parallel, and directories that the driver looks into at most to find them.
+TASKS, LOOKS = 256, 256
 
 
 def walk(root: str, top: str = "") -> Iterator[str]:
@@ -52,9 +58,17 @@ class DocTreeReader(DataSourceReader):
     def partitions(self):
         if not os.path.isdir(self.root):
             raise FileNotFoundError(f"the tree does not exist: {self.root}")
-        tops = sorted(os.scandir(self.root), key=lambda e: e.name)
-        files = [e.name for e in tops if not e.is_dir(follow_symlinks=False) and e.is_file()]
-        found = [Entry(e.name, True) for e in tops if e.is_dir(follow_symlinks=False)]
+        todo, files, looks = [""], [], 0
+        while todo and len(todo) < TASKS and looks < LOOKS:
+            looks += 1
+            top = todo.pop(0)
+            for e in sorted(os.scandir(os.path.join(self.root, top)), key=lambda e: e.name):
+                name = f"{top}/{e.name}" if top else e.name
+                if e.is_dir(follow_symlinks=False):
+                    todo.append(name)
+                elif e.is_file():
+                    files.append(name)
+        found = [Entry(top, True) for top in todo]
         found += [Entry("\0".join(files[i : i + 1000]), False) for i in range(0, len(files), 1000)]
         return found or [Entry("", False)]
 
@@ -73,3 +87,47 @@ class DocTreeReader(DataSourceReader):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(DocTree)
+
+
+def _dealt(listing: DataFrame) -> DataFrame:
+    """Spread over tasks by a hash of the path."""
+    return listing.repartition("rel_path")
+
+
+def with_content(listing: DataFrame, root: str) -> DataFrame:
+    """The listed files (rel_path and other columns) with their content; files that are gone by then are left out."""
+    names = [c for c in listing.columns if c != "content"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(len(batch)):  # one by one, as a file can be large
+                row = batch.iloc[i : i + 1].copy()
+                try:
+                    with open(os.path.join(root, row["rel_path"].iloc[0]), "rb") as f:
+                        row["content"] = [f.read()]
+                except FileNotFoundError:
+                    continue
+                yield row
+
+    kinds = dict(listing.dtypes)
+    return _dealt(listing.select(*names)).mapInPandas(read, ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "content binary"]))
+
+
+def hashed(listing: DataFrame, root: str, version: str = INDEX_VERSION) -> DataFrame:
+    """(rel_path, size, mtime, file_hash) of the listed files: SHA-256 of the index version, a zero byte and the content, read in blocks."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for name in batch["rel_path"]:
+                digest = hashlib.sha256(version.encode() + b"\0")
+                try:
+                    with open(os.path.join(root, name), "rb") as f:
+                        while block := f.read(READ_BLOCK):
+                            digest.update(block)
+                    found.append(digest.hexdigest())
+                except FileNotFoundError:
+                    found.append(None)
+            yield batch.assign(file_hash=found)[batch.columns.tolist() + ["file_hash"]].dropna(subset=["file_hash"])
+
+    return _dealt(listing.select("rel_path", "size", "mtime")).mapInPandas(read, "rel_path string, size bigint, mtime double, file_hash string")

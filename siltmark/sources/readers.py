@@ -1,8 +1,9 @@
 """Readers that turn a file's bytes into structural items, by suffix.
 
 Text and Markdown are split at headings and blank lines, pipe tables become table items, a CSV file is one table,
-HTML is parsed for headings, paragraphs, lists and tables. Office files and PDF need a reader that is registered;
-without one they fail with an error rather than give nothing.
+HTML is parsed for headings, paragraphs, lists, tables and pictures that it holds itself. Word, Excel, PowerPoint and PDF files are
+read by the modules beside this one. Other formats, the old binary .xls among them, need a reader that is registered; without one
+they fail with an error rather than give nothing.
 """
 
 from __future__ import annotations
@@ -10,17 +11,25 @@ from __future__ import annotations
 import csv
 import io
 import re
+from base64 import b64decode
+from collections import Counter
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote_to_bytes
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from siltmark.functions.tables import row_line, separator_line
 from siltmark.schema import RICH_SUFFIXES, TEXT_SUFFIXES
+from siltmark.sources.office import Picture, read_docx, read_pptx, read_xlsx
+from siltmark.sources.pdf import read_pdf
+from siltmark.sources.pictures import PictureOptions
 
 ITEMS = "rel_path string, raw int, ord int, kind string, self_ref string, headings array<string>, text string, caption string, error string"
 
-Reader = Callable[[bytes], Iterator[tuple[str, list[str], str]]]  # (kind, headings, text)
+#: Gives (kind, headings, text); of kind picture the text is a Picture.
+Reader = Callable[[bytes], Iterator[tuple[str, list[str], str | Picture]]]
 _registered: dict[str, Reader] = {}
 
 
@@ -34,8 +43,6 @@ def decoded(data: bytes) -> str:
 
 
 _HEADING = re.compile(r"^(#{1,6})\s+(.*?)\s*#*$")
-_ROW = re.compile(r"^\s*\|.*\|\s*$")
-_RULE = re.compile(r"^\s*\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)+\|?\s*$")
 
 
 def read_markdown(data: bytes):
@@ -44,7 +51,7 @@ def read_markdown(data: bytes):
 
     def flush():
         text, kind = "\n".join(held).strip(), "prose"
-        if len(held) > 1 and _ROW.match(held[0]) and _RULE.match(held[1]):
+        if len(held) > 1 and row_line(held[0]) and separator_line(held[1]):
             kind = "table"
         held.clear()
         if text:
@@ -53,9 +60,9 @@ def read_markdown(data: bytes):
     all_lines = decoded(data).split("\n")
     for i, line in enumerate(all_lines):
         heading = _HEADING.match(line)
-        in_table = len(held) > 1 and _ROW.match(held[0]) and _RULE.match(held[1])
-        opens = _ROW.match(line) and not _RULE.match(line) and i + 1 < len(all_lines) and _RULE.match(all_lines[i + 1])
-        if heading or not line.strip() or (in_table and not _ROW.match(line)) or (opens and held and not in_table):
+        in_table = len(held) > 1 and row_line(held[0]) and separator_line(held[1])
+        opens = row_line(line) and not separator_line(line) and i + 1 < len(all_lines) and separator_line(all_lines[i + 1])
+        if heading or not line.strip() or (in_table and not row_line(line)) or (opens and held and not in_table):
             yield from flush()
         if heading:
             level = len(heading[1])
@@ -80,14 +87,23 @@ def pipe_table(rows: list[list[str]]) -> str:
     return "\n".join([line(clean[0]), "|" + "---|" * width, *map(line, clean[1:])])
 
 
+def csv_rows(text: str, delimiter: str) -> list[list[str]]:
+    return [r for r in csv.reader(io.StringIO(text), delimiter=delimiter) if any(c.strip() for c in r)]
+
+
+def csv_delimiter(text: str) -> str:
+    """Of comma, semicolon, tab and pipe the one by which most rows of the whole text have the same number of cells, two at least; a comma where none does."""
+
+    def agreed(delimiter: str) -> int:
+        widths = Counter(len(r) for r in csv_rows(text, delimiter) if len(r) > 1)
+        return max(widths.values(), default=0)
+
+    return max(",;\t|", key=agreed)
+
+
 def read_csv(data: bytes):
     text = decoded(data)
-    try:
-        kind = csv.Sniffer().sniff(text[:4096], ",;\t|")
-    except csv.Error:
-        kind = csv.excel
-    rows = [r for r in csv.reader(io.StringIO(text), kind) if any(c.strip() for c in r)]
-    if rows:
+    if rows := csv_rows(text, csv_delimiter(text)):
         yield "table", [], pipe_table(rows)
 
 
@@ -174,9 +190,24 @@ class Outline(HTMLParser):
         elif re.fullmatch("h[1-6]", tag):
             self.flush()
             self.heading = int(tag[1])
+        elif tag == "img" and not self.silent:
+            self.picture(dict(attrs))
         elif tag in self.BLOCKS and self.cell is None:
             self.flush()
 
+    def picture(self, attrs):
+        """A picture that the page holds itself; others aren't fetched."""
+        m = re.match(r"data:image/[\w.+-]+(;base64)?,", attrs.get("src") or "")
+        if m:
+            body = attrs["src"][m.end() :]
+            try:
+                data = b64decode(body) if m[1] else unquote_to_bytes(body)
+            except ValueError:
+                return
+            if not self.tables and not self.heading:
+                self.flush()
+            self.found.append(("picture", [self.levels[k] for k in sorted(self.levels)], Picture(data, (attrs.get("alt") or "").strip())))
+
     def handle_endtag(self, tag):
         if self.silent and self.silent[-1] == "template" and tag != "template":
             return
@@ -214,7 +245,7 @@ def read_html(data: bytes):
 
 
 def reader_for(suffix: str, registered: dict[str, Reader] | None = None) -> Reader:
-    own = {".md": read_markdown, ".markdown": read_markdown, ".csv": read_csv, ".html": read_html, ".htm": read_html} | dict.fromkeys((".txt", ".rst", ".log"), read_text)
+    own = {".docx": read_docx, ".xlsx": read_xlsx, ".pptx": read_pptx, ".pdf": read_pdf, ".md": read_markdown, ".markdown": read_markdown, ".csv": read_csv, ".html": read_html, ".htm": read_html} | dict.fromkeys((".txt", ".rst", ".log"), read_text)
     found = (_registered if registered is None else registered).get(suffix) or own.get(suffix)
     if found is None:
         known = suffix in RICH_SUFFIXES + TEXT_SUFFIXES
@@ -222,28 +253,36 @@ def reader_for(suffix: str, registered: dict[str, Reader] | None = None) -> Read
     return found
 
 
-def read_items(rel_path: str, data: bytes | None, registered: dict[str, Reader] | None = None) -> list[tuple]:
-    """A file's items; a file that can't be read is one row with the error. registered are readers by suffix, those of this process if not given."""
+def read_items(rel_path: str, data: bytes | None, registered: dict[str, Reader] | None = None, pictures: PictureOptions | None = None) -> list[tuple]:
+    """A file's items; a file that can't be read is one row with the error. registered are readers by suffix, those of this process if not given.
+
+    A picture that is described is prose with the description and the caption; another gives no item.
+    """
     try:
         m = re.search(r"[^/](\.[^./]+)$", rel_path)
-        found, n, rows = reader_for(m[1].lower() if m else "", registered), {"prose": 0, "table": 0}, []
-        for i, (kind, headings, text) in enumerate(found(data or b"")):
+        found = list(reader_for(m[1].lower() if m else "", registered)(data or b""))
+        told = iter((pictures or PictureOptions()).texts([text for kind, _, text in found if kind == "picture"]))
+        n: Counter[str] = Counter()
+        rows: list[tuple] = []
+        for kind, headings, text in found:
             ref = f"#/{kind}s/{n[kind]}"
             n[kind] += 1
-            rows.append((rel_path, i, 0, kind, ref, headings, text, None, None))
+            if kind == "picture" and not (text := next(told)):
+                continue
+            rows.append((rel_path, len(rows), 0, "table" if kind == "table" else "prose", ref, headings, text, None, None))
         return rows
     except Exception as error:  # noqa: BLE001  one bad document doesn't fail the job
         return [(rel_path, None, None, None, None, None, None, None, f"{type(error).__name__}: {error}")]
 
 
-def read_documents(files: DataFrame) -> DataFrame:
-    """The items of files (rel_path, content), a task per group of files. The readers that are registered by now go along to the workers."""
+def read_documents(files: DataFrame, pictures: PictureOptions | None = None) -> DataFrame:
+    """The items of files (rel_path, content), a task per group of files. The readers that are registered by now go along to the workers; without options pictures are left out."""
     registered = dict(_registered)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in ITEMS.split(", ")]
         for batch in batches:
-            rows = [r for p, c in zip(batch["rel_path"], batch["content"], strict=True) for r in read_items(p, c, registered)]
+            rows = [r for p, c in zip(batch["rel_path"], batch["content"], strict=True) for r in read_items(p, c, registered, pictures)]
             yield pd.DataFrame(rows, columns=names).astype({"raw": "Int32", "ord": "Int32"})
 
     return files.select("rel_path", "content").mapInPandas(read, ITEMS)

@@ -6,6 +6,7 @@ import json
 import os
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from typing import NamedTuple, Protocol
 
@@ -136,12 +137,15 @@ def remove(path: Path, root: Path) -> None:
 
 
 class StagedSource:
-    """Mirrors a remote into a folder; sync() gives the changes since the last one."""
+    """Mirrors a remote into a folder; sync() gives the changes since the last one. So many files are fetched at once.
 
-    def __init__(self, remote: Remote, staging: str, allowed=(), poll: float = 15.0, most_backoff: float = 60.0, timeout: float = 30.0):
+    The folder is to be one that driver and executors share, as executors read it.
+    """
+
+    def __init__(self, remote: Remote, staging: str, allowed=(), poll: float = 15.0, most_backoff: float = 60.0, timeout: float = 30.0, fetches: int = 8):
         self.remote, self.root = remote, Path(staging)
         self.allowed = {x.lower() if x.startswith(".") else "." + x.lower() for x in allowed}
-        self.poll, self.most_backoff, self.timeout = poll, most_backoff, timeout
+        self.poll, self.most_backoff, self.timeout, self.fetches = poll, most_backoff, timeout, fetches
         self.mirrored: dict[str, Meta] = {}
         self.failures, self._stop, self._thread = 0, threading.Event(), None
 
@@ -153,13 +157,11 @@ class StagedSource:
 
     def sync(self) -> list[Change]:
         listed, changes = self.remote.list_files(), []
-        for path in sorted(listed):
-            if not is_indexable(path, self.allowed):
-                continue
-            local = self.root / path
-            if self.mirrored.get(path) == listed[path] and local.is_file():
-                continue
-            if publish(self.remote, path, listed[path], local):
+        wanted = [p for p in sorted(listed) if is_indexable(p, self.allowed) and not (self.mirrored.get(p) == listed[p] and (self.root / p).is_file())]
+        with ThreadPoolExecutor(self.fetches) as pool:
+            done = pool.map(lambda p: publish(self.remote, p, listed[p], self.root / p), wanted)
+        for path, ok in zip(wanted, done, strict=True):
+            if ok:
                 self.mirrored[path] = listed[path]
                 changes.append(Change("upsert", path))
         for path in sorted(self.mirrored.keys() - listed.keys()):

@@ -1,5 +1,6 @@
 """Trees, readers, remotes, settings and the engine end to end."""
 
+import hashlib
 import json
 import os
 import time
@@ -32,6 +33,23 @@ def test_doctree(spark, tmp_path):
     assert found["empty.md"] == (0, b"") and found["a.md"] == (4, b"data")
     only = spark.read.format("doctree").option("extensions", "html").load(str(tmp_path))
     assert [r.rel_path for r in only.collect()] == ["deep/er/e.html"]
+    listing = spark.read.format("doctree").load(str(tmp_path)).drop("content")
+    read = {r.rel_path: (r.size, bytes(r.content)) for r in doctree.with_content(listing, str(tmp_path)).collect()}
+    assert read == found
+    hashes = {r.rel_path: r.file_hash for r in doctree.hashed(listing, str(tmp_path)).collect()}
+    assert hashes == {n: hashlib.sha256(b"table-aware-v2\0" + c).hexdigest() for n, (_, c) in found.items()}
+    (tmp_path / "a.md").unlink()
+    assert doctree.with_content(spark.createDataFrame([("a.md",), ("_u.md",)], "rel_path string"), str(tmp_path)).count() == 1
+
+
+def test_a_single_directory_is_listed_in_parallel(tmp_path):
+    for i in range(40):
+        put(tmp_path, f"only/d{i}/f.md", b"x")
+    for i in range(2500):
+        put(tmp_path, f"only/many/{i}.md", b"")
+    parts = doctree.DocTreeReader({"path": str(tmp_path)}).partitions()
+    listed = [list(doctree.DocTreeReader({"path": str(tmp_path)}).read(p)) for p in parts]
+    assert len(parts) >= 3 and sum(map(len, listed)) == 2540 and len({x[0] for part in listed for x in part}) == 2540
 
 
 def test_readers():
@@ -41,7 +59,7 @@ def test_readers():
     html = b"<head><title>x</title></head><body><nav>n</nav><h1>A</h1><p>one <b>two</b></p><table><tr><th>h</th><th>i</th></tr><tr><td>1</td><td>a|b</td></tr></table><ul><li>q</li></ul>"
     assert list(readers.read_html(html)) == [("prose", ["A"], "one two"), ("table", ["A"], "| h | i |\n|---|---|\n| 1 | a\\|b |"), ("prose", ["A"], "q")]
     assert list(readers.read_csv(b"a;b\n1;2\n")) == [("table", [], "| a | b |\n|---|---|\n| 1 | 2 |")]
-    assert readers.read_items("x.pdf", b"")[0][-1].startswith("ValueError: no reader") and "unsupported" in readers.read_items("x.exe", b"")[0][-1]
+    assert readers.read_items("x.xls", b"")[0][-1].startswith("ValueError: no reader") and "not a PDF" in readers.read_items("x.pdf", b"")[0][-1] and "unsupported" in readers.read_items("x.exe", b"")[0][-1]
     assert readers.read_items("x.txt", None) == []
 
 
@@ -64,9 +82,9 @@ def test_html_with_omitted_tags():
 def test_registered_readers_reach_the_workers(spark, monkeypatch):
     monkeypatch.setattr(readers, "_registered", {})
     readers.register(".PDF", lambda data: [("prose", ["T"], data.decode().upper())])
-    files = spark.createDataFrame([("d/x.pdf", b"text"), ("y.docx", b"z")], "rel_path string, content binary")
+    files = spark.createDataFrame([("d/x.pdf", b"text"), ("y.xls", b"z")], "rel_path string, content binary")
     found = {r.rel_path: (r.headings, r.text, r.error) for r in readers.read_documents(files).collect()}
-    assert found["d/x.pdf"] == (["T"], "TEXT", None) and "no reader" in found["y.docx"][2]
+    assert found["d/x.pdf"] == (["T"], "TEXT", None) and "no reader" in found["y.xls"][2]
 
 
 class FakeRemote:
@@ -120,6 +138,9 @@ def test_settings(tmp_path):
     assert s.models.chunk_size == 77 and s.source.watch_path == "/x"
     smb = config.load_settings(None, {"SOURCE__SERVER": "s", "SOURCE__SHARE": "d", "SOURCE__USERNAME": "u", "SOURCE__PASSWORD": "pw", "SOURCE__STAGING_PATH": "/y"})
     assert smb.source.kind == "smb" and "pw" not in str(smb.safe()) and smb.source.poll_interval_sec == 15
+    other = config.load_settings(None, {"QDRANT__COLLECTION": "c", "QDRANT__URL": "/i", "MODELS__OLLAMA_BASE_URL": "http://o", "MODELS__PICTURE_AREA_THRESHOLD": "0.5"})
+    assert (other.index.collection, other.index.path, other.models.base_url, other.models.picture_area_threshold) == ("c", "/i", "http://o", 0.5)
+    assert (s.models.picture_description_enabled, s.models.vlm_timeout_sec, s.models.vlm_concurrency, s.index.collection) == (True, 90.0, 2, "docs")
     for bad in ({"SOURCE__SERVER": "s"}, {"INDEX_EXTENSIONS": "exe"}, {"MODELS__WHAT": "1"}):
         with pytest.raises(ValueError):
             config.load_settings(None, bad)
@@ -142,7 +163,7 @@ def test_engine(spark, tmp_path):
     put(docs, "b.md", b"other")
     put(docs, "junk.md", b"---")
     put(docs, "p.pdf", b"%PDF")
-    store = IndexStore(spark, str(tmp_path / "index"))
+    store = IndexStore(spark, str(tmp_path / "index"), buckets=4)
     indexer = TreeIndexer(spark, store, stub_embedder, max_tokens=64)
     have = lambda: {r.source_path for r in store.read().select("source_path").distinct().collect()}
     counts = indexer.index(str(docs))
@@ -154,8 +175,16 @@ def test_engine(spark, tmp_path):
     put(docs, "b.md", b"changed")
     indexer.index(str(docs), [Change("upsert", "b.md")])
     assert [r.text for r in store.read().filter("source_path = 'b.md'").collect()] == ["changed"]
+    assert len(store.versions()) <= 2  # older ones are dropped
+    before = os.stat(docs / "b.md")
+    put(docs, "b.md", b"CHANGED")  # of the same size, and time
+    os.utime(docs / "b.md", ns=(before.st_atime_ns, before.st_mtime_ns))
+    put(docs, "sub/c.md", b"unheard of")
+    indexer.index(str(docs), [Change("upsert", "b.md")])  # a file that a batch names is hashed anew
+    assert [r.text for r in store.read().filter("source_path = 'b.md'").collect()] == ["CHANGED"] and have() == {"sub/a.md", "b.md"}
     indexer.index(str(docs), [Change("delete", "sub", True)])
     assert have() == {"b.md"}
+    (docs / "sub/c.md").unlink()
     indexer.index(str(docs))
     assert have() == {"sub/a.md", "b.md"}
     for f in docs.rglob("*"):
@@ -165,6 +194,54 @@ def test_engine(spark, tmp_path):
     assert have() == set()
 
 
+def test_batches_hash_what_changed(spark, tmp_path, monkeypatch):
+    docs = tmp_path / "docs"
+    for i in range(5):
+        put(docs, f"{i}.md", b"text %d" % i)
+    indexer = TreeIndexer(spark, IndexStore(spark, str(tmp_path / "index")), stub_embedder)
+    indexer.index(str(docs))
+    seen = []
+    real = doctree.hashed
+    monkeypatch.setattr(doctree, "hashed", lambda listing, root: seen.append({r.rel_path for r in listing.collect()}) or real(listing, root))
+    put(docs, "1.md", b"another text")
+    put(docs, "new.md", b"new")
+    indexer.index(str(docs), [Change("upsert", "new.md"), Change("upsert", "3.md")])
+    assert seen == [{"1.md", "new.md", "3.md"}]
+    assert {r.rel_path for r in indexer.hashes.read().collect()} == {"0.md", "1.md", "2.md", "3.md", "4.md", "new.md"}
+
+
+@pytest.mark.parametrize("events", [True, False])
+def test_changes_of_directories(tmp_path, events):
+    for name in ("a.md", "d/b.md", "d/e/c.md", "x/y.md"):
+        put(tmp_path, name, b"1")
+    settings = config.load_settings(None, {"SOURCE__WATCH_PATH": str(tmp_path), "SOURCE__DEBOUNCE_SECONDS": "0.2"})
+    watch, got = LocalWatch(settings.source, events=events), []
+    watch.prepare()
+    put(tmp_path, "early.md", b"between the first look and the start")
+    watch.start(lambda changes: got.append({(c.op, c.path) for c in changes}))
+
+    def after(n):
+        end = time.time() + 15
+        while len(got) < n and time.time() < end:
+            time.sleep(0.02)
+        return got[n - 1]
+
+    try:
+        assert after(1) == {("upsert", "early.md")}
+        os.rename(tmp_path / "d", tmp_path / "z")
+        put(tmp_path, "new/er/f.md", b"2")
+        (tmp_path / "x/y.md").unlink()
+        (tmp_path / "x").rmdir()
+        assert after(2) == {("delete", "d/b.md"), ("delete", "d/e/c.md"), ("upsert", "z/b.md"), ("upsert", "z/e/c.md"), ("upsert", "new/er/f.md"), ("delete", "x/y.md")}
+        put(tmp_path, "z/e/c.md", b"changed")
+        put(tmp_path, "new/er/g.md", b"3")
+        assert after(3) == {("upsert", "z/e/c.md"), ("upsert", "new/er/g.md")}
+        time.sleep(0.6)
+        assert len(got) == 3
+    finally:
+        watch.stop()
+
+
 class Recorder:
     def __init__(self):
         self.calls = []

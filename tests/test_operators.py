@@ -184,12 +184,15 @@ def test_points(spark):
     assert {r.rel_path for r in done.filter("failed").collect()} == {"g"}
 
 
+def point(i, path, vector):
+    return (i, vector, path, 0, "t", "h", "v", "prose", None, None, None)
+
+
 def test_store(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path / "index"))
     assert store.read().count() == 0 and store.dimension() is None
-    point = lambda i, p, v: (i, v, p, 0, "t", "h", "v", "prose", None, None, None)
     first = spark.createDataFrame([point("1", "a", [1.0, 2.0]), point("2", "b", [1.0, 2.0])], POINTS)
-    assert store.commit(first) == 1
+    assert store.commit(first) == 1 and store.dimension() == 2
     touched = spark.createDataFrame([("a",)], "source_path string")
     old = store.read()
     assert store.replace(touched, spark.createDataFrame([point("3", "a", [0.0, 1.0])], POINTS)) == 2
@@ -199,3 +202,104 @@ def test_store(spark, tmp_path):
     store.commit(first)
     store.vacuum(1)
     assert store.versions() == [3] and store.read().count() == 2
+    everything = spark.createDataFrame([("a",), ("b",)], "source_path string")
+    store.replace(everything, spark.createDataFrame([], POINTS))
+    assert store.read().count() == 0 and store.dimension() is None
+    store.replace(touched, spark.createDataFrame([point("5", "a", [1.0])], POINTS))
+    assert store.dimension() == 1
+
+
+def test_store_writes_touched_buckets_only(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "index"), buckets=8)
+    rows = [point(str(i), f"p{i}", [float(i)]) for i in range(60)]
+    store.commit(spark.createDataFrame(rows, POINTS))
+    before = store._version(1)["folders"]
+    store.replace(spark.createDataFrame([("p7",)], "source_path string"), spark.createDataFrame([point("x", "p7", [0.5])], POINTS))
+    after = store._version(2)["folders"]
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert {r.id for r in store.read().collect()} == {str(i) for i in range(60) if i != 7} | {"x"}
+    store.vacuum(1)
+    assert store.read().count() == 60 and len(list((tmp_path / "index/data").iterdir())) == 2
+    store.replace(spark.createDataFrame([(f"p{i}",) for i in range(60)], "source_path string"), spark.createDataFrame([], POINTS))
+    store.vacuum(1)
+    assert store.read().count() == 0
+
+
+def test_store_survives_crashes(spark, tmp_path, monkeypatch):
+    from siltmark.operators import store as module
+
+    store = IndexStore(spark, str(tmp_path / "index"))
+    store.commit(spark.createDataFrame([point("1", "a", [1.0])], POINTS))
+    touched, fresh = spark.createDataFrame([("a",)], "source_path string"), spark.createDataFrame([point("2", "a", [2.0])], POINTS)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:  # after the data, before the version
+        m.setattr(module, "publish", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            store.replace(touched, fresh)
+    (tmp_path / "index/versions/.0000000002.half").write_text("{")  # while the version was being written
+    assert [r.id for r in store.read().collect()] == ["1"] and store.versions() == [1]
+    assert store.replace(touched, fresh) == 2 and [r.id for r in store.read().collect()] == ["2"]
+    with monkeypatch.context() as m:  # another writer commits between the first look and the version
+        real = module.publish
+        m.setattr(module, "publish", lambda s, p, c: real(s, p, store.folder and module.json.dumps(store._version(2))) and real(s, p, c))
+        with pytest.raises(RuntimeError, match="another writer"):
+            store.replace(touched, spark.createDataFrame([point("3", "a", [3.0])], POINTS))
+    assert [r.id for r in store.read().collect()] == ["2"] and store.versions() == [1, 2, 3]
+    assert module.publish(spark, str(tmp_path / "one"), "x") and not module.publish(spark, str(tmp_path / "one"), "y") and (tmp_path / "one").read_text() == "x"
+
+
+def test_one_request_for_a_document(spark):
+    asked = spark.sparkContext.accumulator(0)
+    chunks = spark.createDataFrame([("f", i, f"text {i}", ["a", "b"][: i % 3]) for i in range(7)] + [("g", 0, "only", [])], "rel_path string, chunk_no int, text string, embedding_parts array<string>").repartition(3)
+
+    def embed(texts):
+        asked.add(1)
+        return [[float(len(t)), 1.0] for t in texts]
+
+    done = sorted(em.embed_chunks(chunks, em.python_embedder(embed)).collect(), key=lambda r: (r.rel_path, r.chunk_no))
+    assert asked.value == 2 and [(r.rel_path, r.chunk_no, r.chunk_index) for r in done] == [("f", i, i) for i in range(7)] + [("g", 0, 0)]
+    assert done[0].vector == [6.0, 1.0] and abs(done[1].vector[0] - 1.0) < 1e-9 and done[7].vector == [4.0, 1.0] and not any(r.failed for r in done)
+
+
+def test_peers_are_merged(spark):
+    kinds = ["prose", "prose", "prose", "table", "prose", "prose", "prose", "prose", "prose"]
+    heads = [["A"], ["A"], ["B"], ["B"], ["B"], ["B"], ["B"], ["B"], None]
+    texts = ["one", "two", "three", MD, "four", "x" * 300, "five", "six", "seven"]
+    df = items(spark, *[(i, 0, k, f"r{i}", h, t, None) for i, (k, h, t) in enumerate(zip(kinds, heads, texts, strict=True))])
+    got = [(r.raw, r.ord, r.text) for r in ck.merge_peers(df, 64).orderBy("raw", "ord").collect()]
+    assert got == [(0, 0, "one"), (0, 1, "two"), (1, 0, "three"), (2, 0, MD), (3, 0, "four"), (4, 0, "x" * 300), (5, 0, "five"), (5, 1, "six"), (6, 0, "seven")]
+    chunks = [c.text for c in ck.assemble_chunks(ck.merge_peers(df, 64), 64).orderBy("chunk_no").collect()]
+    assert chunks[:3] == ["A\none\n\ntwo", "B\nthree", MD] and chunks[-2:] == ["B\nfive\n\nsix", "seven"]
+    assert ck.merge_peers(df.limit(0), 64).count() == 0
+
+
+def test_prose_without_reference_is_no_repeat(spark):
+    df = items(spark, (0, 0, "prose", None, [], "before", None), (0, 1, "table", "t0", [], MD, None), (0, 2, "prose", None, [], "after", None))
+    assert [c.text for c in ck.assemble_chunks(df, 100).orderBy("chunk_no").collect()] == ["before", MD, "after"]
+
+
+def test_broken_invariant_fails_the_document(spark):
+    df = items(spark, (0, 0, "prose", "p0", [], "text", None))
+    twice = spark.createDataFrame([("f", "t0", MD, None), ("f", "t0", MD.replace("1", "7"), None)], "rel_path string, ref string, text string, caption string")
+    assert all("twice" in c.error for c in ck.assemble_chunks(df, 100, twice).collect())
+
+
+def test_chunks_by_a_tokenizer(spark):
+    words = lambda t: len(t.split())
+    rows = "\n".join(f"| {i} | some longer words {i} |" for i in range(9))
+    text = "\n".join(f"line {i} of the prose" for i in range(6)) + "\n" + " ".join(f"w{i}" for i in range(60)) + "\nend"
+    df = items(spark, (0, 0, "prose", "p0", [], text, None), (1, 0, "table", "t0", ["H"], "| a | b |\n|---|---|\n" + rows, "cap"), (2, 0, "prose", "p1", [], "| x | y |\n|---|---|\n| 8 | 9 |\nshort", None))
+    chunks = ck.assemble_chunks(df, 20, tokenizer=words).orderBy("chunk_no").collect()
+    prose = [c.text for c in chunks if c.chunk_type == "prose"]
+    assert prose[:2] == ["\n".join(f"line {i} of the prose" for i in r) for r in (range(4), range(4, 6))] and prose[-2:] == ["end", "short"]
+    assert "".join(prose[2:-2]).startswith("w0 w1") and all(len(p) <= 80 for p in prose[2:-2])
+    table = next(c for c in chunks if c.table_ref == "t0")
+    head = "[Таблица]\nРаздел: H\nПодпись: cap\n\n| a | b |\n|---|---|\n"
+    assert len(table.embedding_parts) == 9 and table.embedding_parts[3] == head + "| 3 | some longer words 3 |"
+    assert [c.text for c in chunks if c.chunk_type == "table"][1:] == ["| x | y |\n|---|---|\n| 8 | 9 |"]
+    every = ck.assemble_chunks(df, 1000, tokenizer=words).orderBy("chunk_no").collect()
+    plain = ck.assemble_chunks(df, 1000).orderBy("chunk_no").collect()
+    assert [c.embedding_parts for c in every] == [c.embedding_parts for c in plain] and [c.text for c in every] == [c.text for c in plain]

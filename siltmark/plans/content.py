@@ -80,6 +80,38 @@ def assembled(s, d) -> DataFrame:
     return ck.assemble_chunks(items(s, d), 1 << 20, registry(s, d))
 
 
+SHAPES = ("ruled", "bare", "one dash", "html", "broken")
+
+
+def shapes(s, d) -> DataFrame:
+    """(n_nationkey, md): tables of one to six columns with up to five rows; with a separator, without, with one that is none, as HTML, and with a line of prose in the header's place."""
+    key = F.col("n_nationkey")
+    first = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) <= 5
+    cells = F.array(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment", F.col("c_nationkey").cast("string"), F.lit("x"), F.upper("c_name"))
+    rows = table(s, d, "customer").withColumn("first", first).filter("first").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", cells.alias("cells")))).alias("rs"))
+    df = table(s, d, "nation").join(rows, key == F.col("c_nationkey")).withColumn("c", key % 6 + 1)
+    line = lambda xs: F.concat(F.lit("| "), F.array_join(F.slice(xs, F.lit(1), F.col("c")), " | "), F.lit(" |"))
+    head, body = line(F.array(*[F.lit(f"h{i}") for i in range(6)])), F.transform("rs", lambda r: line(r["cells"]))
+    rule = lambda mark: F.concat(F.lit("|"), F.repeat(F.lit(mark + "|"), F.col("c")))
+    tags = F.transform("rs", lambda r: F.concat(F.lit("<tr><td>"), F.array_join(F.slice(r["cells"], F.lit(1), F.col("c")), "</td><td>"), F.lit("</td></tr>")))
+    every = [F.concat(F.array(head, rule(":--:")), body), F.concat(F.array(head), body), F.concat(F.array(head, rule("-")), body), F.concat(F.array(F.lit("<table>")), tags, F.array(F.lit("</table>"))), F.concat(F.array(head, F.lit("note"), rule("---")), body)]
+    md = F.element_at(F.array(*[F.array_join(x, "\n") for x in every]), (key % 5 + 1).cast("int"))
+    return df.select("n_nationkey", md.alias("md"))
+
+
+def table_shapes(s, d) -> DataFrame:
+    md = F.col("md")
+    return shapes(s, d).select("n_nationkey", tb.is_pure_table(md).alias("pure"), tb.parse_table(md).alias("t"), tb.row_count(md).alias("n_rows")).select("n_nationkey", "pure", "t.header", "t.separator", "n_rows")
+
+
+def useless_tables(s, d) -> DataFrame:
+    """Documents with a table of dashes fail as a whole."""
+    key = F.col("n_nationkey")
+    text = F.when(key % 5 == 0, F.lit("| - | - |\n|---|---|\n| -- | |")).otherwise(F.col("md"))
+    rows = markdown(s, d).select(F.col("n_name").alias("rel_path"), F.lit(0).alias("raw"), F.lit(0).alias("ord"), F.lit("table").alias("kind"), F.lit("#/tables/0").alias("self_ref"), F.array(F.lit("H")).alias("headings"), text.alias("text"), F.lit(None).cast("string").alias("caption"))
+    return ck.assemble_chunks(rows, 1 << 20).filter("error IS NOT NULL").select("rel_path", "chunk_no", "error")
+
+
 def fragments(s, d) -> DataFrame:
     base = markdown(s, d)
     lines = base.select(F.col("n_name").alias("rel_path"), F.posexplode(F.split("md", "\n")).alias("pos", "piece"))
@@ -112,7 +144,7 @@ def flagship_chunks(s, d, budget: int = 256) -> DataFrame:
     disk = rc.disk_hashes(have)
     first = rc.with_canonical(disk).filter("rel_path = canon").select("rel_path", "file_hash")
     chosen = have.join(first, "rel_path")
-    split = chosen.select("rel_path", "file_hash", F.posexplode(tx.split_prose(tx.strip("content"), budget)).alias("chunk_no", "text"))
+    split = chosen.select("rel_path", "file_hash", F.posexplode(tx.split_prose(tx.strip(F.col("content")), budget)).alias("chunk_no", "text"))
     none = F.array().cast("array<string>")
     return split.select("rel_path", "file_hash", "chunk_no", "text", none.alias("headings"), F.lit("prose").alias("chunk_type"), F.lit(None).cast("string").alias("table_ref"), none.alias("embedding_parts"), F.lit(0).alias("row_count"))
 
@@ -134,7 +166,7 @@ def counted(s, d) -> DataFrame:
     chunks = docs(s, d).select(F.col("doc_id").cast("string").alias("rel_path"), F.posexplode(tx.split_prose(F.col("text"), BUDGET)).alias("chunk_no", "text"))
     chunks = chunks.withColumn("embedding_parts", F.array("text", F.lit("again")))
     short = lambda x: F.transform(F.filter(x, lambda t: ~F.contains(t, F.lit("tion|"))), stub_vector)
-    only = lambda x: F.when(F.contains(F.get(x, 0), F.lit("!!")), F.slice(short(x), F.lit(1), F.lit(1))).otherwise(short(x))
+    only = lambda x: F.when(F.exists(x, lambda t: F.contains(t, F.lit("!!"))), F.slice(short(x), F.lit(1), F.lit(1))).otherwise(short(x))
     return em.embed_chunks(chunks, only).groupBy("rel_path").agg(F.max("failed").alias("failed"), F.count(F.lit(1)).alias("n"))
 
 
@@ -175,6 +207,8 @@ QUERIES = {
     "md_table_spans": lambda s, d: md_table_spans(table_lines(s, d)),
     "table_line_kinds": lambda s, d: table_lines(s, d).select("n_nationkey", "pos", tb.is_row(F.col("line")).alias("is_row"), tb.is_separator(F.col("line")).alias("is_sep")),
     "table_parse": lambda s, d: rendered(s, d).select("n_nationkey", tb.parse_table(F.col("md")).alias("t")).select("n_nationkey", "t.header", "t.separator", F.array_join("t.rows", "\n").alias("body")),
+    "table_shapes": table_shapes,
+    "useless_tables": useless_tables,
     "table_row_count": lambda s, d: rendered(s, d).select("n_nationkey", tb.row_count(F.col("md")).alias("n")),
     "table_chunks": lambda s, d: markdown(s, d).select("n_nationkey", tb.table_text(F.col("md"), F.col("n_name")).alias("text")),
     "table_embedding_parts": lambda s, d: markdown(s, d).select("n_nationkey", F.posexplode(tb.embedding_parts(F.col("md"), F.array(F.lit("A"), F.lit("B")), F.col("n_name"), BUDGET)).alias("pos", "part")),
@@ -266,6 +300,17 @@ ORACLES = {
         SELECT n_nationkey, min(pos) FILTER (opens) AS "first", max(pos) AS "last" FROM i WHERE r OR s GROUP BY n_nationkey, island HAVING "first" IS NOT NULL""",
     "table_line_kinds": f"WITH {_LINES} SELECT n_nationkey, pos, line LIKE '|%|' AS is_row, line = '|---|---|' AS is_sep FROM ln",
     "table_parse": f"WITH {_MD} SELECT n_nationkey, '| key | name |' AS header, '|---|---|' AS separator, body FROM md",
+    "table_shapes": """WITH c AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS nth FROM customer),
+        r AS (SELECT c_nationkey AS k, list([c_custkey::VARCHAR, c_name, c_mktsegment, c_nationkey::VARCHAR, 'x', upper(c_name)][1:c_nationkey % 6 + 1] ORDER BY c_custkey) AS rs FROM c WHERE nth <= 5 GROUP BY c_nationkey),
+        t AS (SELECT k, k % 5 AS s, k % 6 + 1 AS c, rs, '| ' || array_to_string(['h0', 'h1', 'h2', 'h3', 'h4', 'h5'][1:k % 6 + 1], ' | ') || ' |' AS head, list_transform(rs, lambda x: '| ' || array_to_string(x, ' | ') || ' |') AS body FROM r),
+        l AS (SELECT *, CASE s WHEN 0 THEN list_concat([head, '|' || repeat(':--:|', c)], body) WHEN 1 THEN list_concat([head], body) WHEN 2 THEN list_concat([head, '|' || repeat('-|', c)], body)
+            WHEN 3 THEN list_concat(list_concat(['<table>'], list_transform(rs, lambda x: '<tr><td>' || array_to_string(x, '</td><td>') || '</td></tr>')), ['</table>']) ELSE list_concat([head, 'note', '|' || repeat('---|', c)], body) END AS ls FROM t),
+        f AS (SELECT *, list_transform(ls, lambda x: regexp_matches(x, '^\\|.*\\|$')) AS r, list_transform(ls, lambda x: regexp_matches(x, '^\\s*\\|?\\s*:?-{2,}:?\\s*(\\|\\s*:?-{2,}:?\\s*)+\\|?\\s*$')) AS p FROM l),
+        a AS (SELECT *, coalesce(list_position(list_transform(range(1, len(ls)), lambda i: r[i] AND NOT p[i] AND p[i + 1]), true), 0) AS fi, len(list_filter(range(2, len(ls) + 1), lambda i: r[i])) AS below,
+            len(list_filter(range(1, len(ls) + 1), lambda i: NOT (r[i] OR p[i]))) = 0 AS whole FROM f)
+        SELECT k AS n_nationkey, s = 3 OR (s = 0 AND c > 1) AS pure, CASE WHEN fi > 0 THEN ls[fi] WHEN whole AND below > 0 THEN ls[1] WHEN s = 3 THEN array_to_string(ls, chr(10)) END AS header,
+          CASE WHEN fi > 0 THEN ls[fi + 1] END AS separator, (CASE WHEN fi > 0 THEN len(list_filter(range(fi + 2, len(ls) + 1), lambda i: r[i])) WHEN whole THEN below ELSE 0 END)::INT AS n_rows FROM a""",
+    "useless_tables": f"WITH {_MD} SELECT n_name AS rel_path, 0 AS chunk_no, 'a table without useful text' AS error FROM md WHERE n_nationkey % 5 = 0",
     "table_row_count": f"WITH {_MD} SELECT n_nationkey, n::INT AS n FROM md",
     "table_chunks": f"WITH {_MD} SELECT n_nationkey, CASE WHEN contains(md, n_name) THEN md ELSE 'Подпись таблицы: ' || n_name || chr(10) || chr(10) || md END AS text FROM md",
     "table_embedding_parts": f"""WITH {_MD}, f AS (SELECT *, '[Таблица]' || chr(10) || 'Раздел: A / B' || chr(10) || 'Подпись: ' || n_name || chr(10) || chr(10) AS p FROM md),

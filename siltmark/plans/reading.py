@@ -1,4 +1,4 @@
-"""Queries whose readers are Python, and so have no SQL."""
+"""Queries that read files: the pages, as HTML."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltmark.operators.chunking import assemble_chunks
+from siltmark.plans.content import prose_sql
 from siltmark.plans.core import table
 from siltmark.sources.readers import read_documents
 
@@ -27,3 +28,20 @@ def chunks_of_pages(spark, sf) -> DataFrame:
 
 
 QUERIES = {"read_documents": items_of_pages, "chunk_pages": chunks_of_pages}
+
+#: What the pages are made of is known, so that their items can be cut out by patterns.
+_ITEMS = r"""mk AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<head>.*?</head>|<nav>.*?</nav>|<!--.*?-->|<![^>]*>', '', 'g'), '<h1>(.*?)</h1>', chr(1) || chr(2) || '\1' || chr(1), 'g') AS x FROM pages),
+cu AS (SELECT page_id, string_split(regexp_replace(regexp_replace(x, '</?(p|li|div|article|section|footer|header|main|ul|ol|br|body)\b[^>]*>', chr(1), 'g'), '<[^>]+>', '', 'g'), chr(1)) AS ps FROM mk),
+pt AS (SELECT page_id, unnest(range(len(ps))) AS pos, unnest(ps) AS x FROM cu),
+tx AS (SELECT page_id, pos, starts_with(x, chr(2)) AS head, trim(regexp_replace(replace(replace(replace(replace(ltrim(x, chr(2)), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pt),
+hd AS (SELECT *, coalesce(last_value(CASE WHEN head THEN t END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos ROWS UNBOUNDED PRECEDING), '') AS headings FROM tx WHERE t <> ''),
+it AS (SELECT printf('page/%d.html', page_id) AS rel_path, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::INT AS raw, 'prose' AS kind, headings, t AS text FROM hd WHERE NOT head)"""
+
+ORACLES = {
+    "read_documents": f"WITH {_ITEMS} SELECT rel_path, raw, kind, headings, text, NULL::VARCHAR AS error FROM it",
+    "chunk_pages": f"""WITH {_ITEMS}, st AS (SELECT rel_path || chr(0) || raw AS k, CASE WHEN headings <> '' THEN headings || chr(10) || text ELSE text END AS text FROM it),
+        {prose_sql(256, 'st', 'k')},
+        ch AS (SELECT split_part(k, chr(0), 1) AS rel_path, split_part(k, chr(0), 2)::INT AS raw, unnest(range(len(ps))) AS n, unnest(ps) AS text FROM packed)
+        SELECT rel_path, (row_number() OVER (PARTITION BY rel_path ORDER BY raw, n) - 1)::INT AS chunk_no, text, 'prose' AS chunk_type, NULL::VARCHAR AS table_ref, 0 AS row_count, NULL::VARCHAR AS error
+        FROM ch WHERE regexp_matches(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[\\p{{L}}\\p{{N}}]')""",
+}

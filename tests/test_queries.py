@@ -9,8 +9,8 @@ from siltmark.plans import content, core, reading
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = core.QUERIES | content.QUERIES
-ORACLES = core.ORACLES | content.ORACLES
+QUERIES = core.QUERIES | content.QUERIES | reading.QUERIES
+ORACLES = core.ORACLES | content.ORACLES | reading.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
 

@@ -77,6 +77,8 @@ class WordBPE:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         split = file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
+        self.one_word = all(self.pieces(w) == [w] for w in ("a", "ab", "éß", "日本", "ʰª"))  # letters alone are one piece
+        self.numeral = {i: str(i) for i in self.token}
         self.chunks, self.words = Cache(CHUNKS), Cache(WORDS)
 
     def merge(self, ids: list[int]) -> list[int]:
@@ -90,10 +92,21 @@ class WordBPE:
             a, b = tree[2 * x], tree[2 * x + 1]
             tree[x] = a if a < b else b
         after, before = list(range(1, n + 1)), list(range(-1, n))
+
+        def put(x: int, value: int) -> None:  # up, as far as a node's least child changes
+            while tree[x] != value:
+                tree[x] = value
+                if x == 1:
+                    return
+                other = tree[x ^ 1]
+                x >>= 1
+                if other < value:
+                    value = other
+
         while (r := tree[1]) != none:
             x = 1
             while x < half:  # down to the leftmost leaf of this rank
-                x *= 2
+                x += x
                 if tree[x] != r:
                     x += 1
             i = x - half
@@ -102,38 +115,40 @@ class WordBPE:
             before[k] = i
             left = ids[i] = merged[r]
             ids[j] = -1
-            h = before[i]
-            changes = [(x, rank((left << 32) | ids[k], none) if k < n else none)]
             if k < n:
-                changes.append((half + j, none))
+                put(half + j, none)
+                put(x, rank((left << 32) | ids[k], none))
+            else:
+                put(x, none)
+            h = before[i]
             if h >= 0:
-                changes.append((half + h, rank((ids[h] << 32) | left, none)))
-            for x, value in changes:  # up, as far as a node's least child changes
-                while tree[x] != value:
-                    tree[x] = value
-                    if x == 1:
-                        break
-                    other = tree[x ^ 1]
-                    x >>= 1
-                    if other < value:
-                        value = other
+                put(half + h, rank((ids[h] << 32) | left, none))
         return [x for x in ids if x >= 0]
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> tuple[int, str, str]:
+        """Of a piece: the number of ids, the ids joined by spaces, the tokens joined by spaces."""
         if (found := self.words.get(word)) is None:
             data = word.encode()
-            ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-            found = tuple(self.merge(ids))
+            ids = [self.inner[b] for b in data]
+            ids[-1] = self.last[data[-1]]
+            found = self.shown(self.merge(ids))
             if len(word) <= LONGEST:
                 self.words.put(word, found)
         return found
 
+    def shown(self, ids: list[int]) -> tuple[int, str, str]:
+        numeral, token = self.numeral, self.token
+        return len(ids), " ".join([numeral[i] for i in ids]), " ".join([token[i] for i in ids])
+
     def chunk(self, chunk: str) -> tuple[int, str, str]:
-        """Of a text without blanks: the number of ids, the ids joined by spaces, the tokens joined by spaces."""
+        """As word(), of a text without blanks."""
         if (found := self.chunks.get(chunk)) is None:
-            text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-            ids = [i for w in self.pieces(text) for i in self.word(w)]
-            found = (len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids]))
+            text = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+            if text.isalpha() and self.one_word:
+                found = self.word(text)
+            else:
+                parts = [self.word(w) for w in self.pieces(text)]
+                found = parts[0] if len(parts) == 1 else (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
             if len(chunk) <= LONGEST:
                 self.chunks.put(chunk, found)
         return found

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from siltmark.llm._common import parquet, small_batches
 
 #: Entries of each generation of a worker's caches of chunks and of words, and characters of an entry's key; longer ones are done anew each time, which bounds the caches' bytes.
-CHUNKS, WORDS, LONGEST = 1 << 18, 1 << 17, 64
+CHUNKS, WORDS, LONGEST = 1 << 17, 1 << 18, 64
 #: More than any rank.
 NONE = 1 << 60
 

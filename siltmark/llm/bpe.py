@@ -92,17 +92,6 @@ class WordBPE:
             a, b = tree[2 * x], tree[2 * x + 1]
             tree[x] = a if a < b else b
         after, before = list(range(1, n + 1)), list(range(-1, n))
-
-        def put(x: int, value: int) -> None:  # up, as far as a node's least child changes
-            while tree[x] != value:
-                tree[x] = value
-                if x == 1:
-                    return
-                other = tree[x ^ 1]
-                x >>= 1
-                if other < value:
-                    value = other
-
         while (r := tree[1]) != none:
             x = 1
             while x < half:  # down to the leftmost leaf of this rank
@@ -115,14 +104,27 @@ class WordBPE:
             before[k] = i
             left = ids[i] = merged[r]
             ids[j] = -1
-            if k < n:
-                put(half + j, none)
-                put(x, rank((left << 32) | ids[k], none))
-            else:
-                put(x, none)
             h = before[i]
+            tree[x] = rank((left << 32) | ids[k], none) if k < n else none
+            changed = [x]
+            if k < n:
+                tree[half + j] = none
+                if x ^ 1 != half + j:
+                    changed.append(half + j)
             if h >= 0:
-                put(half + h, rank((ids[h] << 32) | left, none))
+                tree[half + h] = rank((ids[h] << 32) | left, none)
+                if x ^ 1 != half + h:
+                    changed.append(half + h)
+            for x in changed:  # up, as far as a node's least child changes; siblings share a path
+                low = tree[x]
+                while x > 1:
+                    other = tree[x ^ 1]
+                    if other < low:
+                        low = other
+                    x >>= 1
+                    if tree[x] == low:
+                        break
+                    tree[x] = low
         return [x for x in ids if x >= 0]
 
     def word(self, word: str) -> tuple[int, str, str]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltmark.functions.ids import point_id
-from siltmark.functions.text import is_useful, strip
+from siltmark.functions.text import is_useful, let, strip
 from siltmark.functions.vectors import stub_vector, vector_mean
 from siltmark.schema import INDEX_VERSION
 
@@ -17,7 +17,7 @@ from siltmark.schema import INDEX_VERSION
 def embedding_inputs(text: Column, parts: Column) -> Column:
     """The stripped parts that aren't blank; without any, the stripped text."""
     kept = F.filter(F.transform(F.coalesce(parts, F.array().cast("array<string>")), strip), lambda p: p != "")
-    return F.when(F.size(kept) > 0, kept).otherwise(F.array(strip(text)))
+    return let(kept, lambda kept: F.when(F.size(kept) > 0, kept).otherwise(F.array(strip(text))))
 
 
 def useful_chunks(chunks: DataFrame) -> DataFrame:
@@ -54,19 +54,24 @@ def embed_chunks(chunks: DataFrame, embedder: Callable[[Column], Column] = stub_
     The embedder gets all texts of a document at once. chunk_index counts a document's useful chunks from 0. A document fails as a
     whole when the embedder fails, when it returns another number of vectors than it got texts, or when a chunk's vectors have
     no mean.
+
+    What is computed for a document comes out of the explode, failed too, and the explode is an outer one, though no document
+    lacks chunks: a condition on it, asked for or inferred, would be moved below and compute all for each chunk again.
     """
     names = [c for c in chunks.columns if c != "rel_path"]
-    inputs = embedding_inputs(F.col("text"), F.col("embedding_parts"))
-    useful = useful_chunks(chunks).select("rel_path", F.struct("chunk_no", F.struct(*names).alias("chunk"), inputs.alias("inputs")).alias("c"))
+    useful = useful_chunks(chunks).select("rel_path", F.struct("chunk_no", F.struct(*names).alias("chunk")).alias("c"))
     documents = useful.groupBy("rel_path").agg(F.array_sort(F.collect_list("c")).alias("cs"))  # a document's own chunks
-    documents = documents.withColumn("vectors", embedder(F.flatten(F.transform("cs", lambda c: c["inputs"]))))
-    ends = F.aggregate("cs", F.array(F.lit(0)), lambda a, c: F.array_append(a, F.element_at(a, -1) + F.size(c["inputs"])))
-    documents = documents.withColumn("ends", ends).withColumn("complete", F.size("vectors") == F.element_at("ends", -1))
-    at = lambda i: F.get("ends", i)
-    vector = lambda i: F.when(F.col("complete"), vector_mean(F.slice("vectors", at(i) + 1, at(i + 1) - at(i))))
-    made = F.transform("cs", lambda c, i: F.struct(i.alias("chunk_index"), c["chunk"].alias("chunk"), vector(i).alias("vector")))
-    documents = documents.select("rel_path", made.alias("made")).withColumn("failed", F.exists("made", lambda m: m["vector"].isNull()))
-    return documents.select("rel_path", "failed", F.explode("made").alias("m")).select("rel_path", *[F.col(f"m.chunk.{c}").alias(c) for c in names], "m.chunk_index", "m.vector", "failed")
+    documents = documents.withColumn("inputs", F.transform("cs", lambda c: embedding_inputs(c["chunk"]["text"], c["chunk"]["embedding_parts"])))
+    firsts = F.flatten(F.transform("inputs", lambda ts: F.transform(ts, lambda _, k: k == 0)))  # every chunk has a text
+    starts = F.filter(F.transform(firsts, lambda first, i: F.when(first, i)), lambda i: i.isNotNull())
+    documents = documents.withColumn("texts", F.flatten("inputs")).withColumn("starts", starts)
+    documents = documents.withColumn("vectors", embedder(F.col("texts"))).withColumn("complete", F.size("vectors") == F.size("texts"))
+    part = lambda i: F.slice("vectors", F.get("starts", i) + 1, F.size(F.get("inputs", i)))
+    vector = lambda i: F.when(F.col("complete"), let(part(i), vector_mean))
+    means = documents.select("rel_path", "cs", F.transform("cs", lambda _, i: vector(i)).alias("means"))
+    told = means.withColumn("failed", F.exists("means", lambda v: v.isNull()))
+    made = F.transform("cs", lambda c, i: F.struct(i.alias("chunk_index"), c["chunk"].alias("chunk"), F.get("means", i).alias("vector"), F.col("failed").alias("failed")))
+    return told.select("rel_path", F.explode_outer(made).alias("m")).select("rel_path", *[F.col(f"m.chunk.{c}").alias(c) for c in names], "m.chunk_index", "m.vector", "m.failed")
 
 
 def same_dimension(embedded: DataFrame) -> DataFrame:

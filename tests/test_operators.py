@@ -264,6 +264,14 @@ def test_one_request_for_a_document(spark):
     assert done[0].vector == [6.0, 1.0] and abs(done[1].vector[0] - 1.0) < 1e-9 and done[7].vector == [4.0, 1.0] and not any(r.failed for r in done)
 
 
+def test_vectors_are_computed_once(spark):
+    chunks = spark.createDataFrame([("f", 0, "one"), ("f", 1, "two"), ("g", 0, "x")], "rel_path string, chunk_no int, text string").select("*", F.array("text", F.lit("b")).alias("embedding_parts"))
+    done = em.embed_chunks(chunks, lambda texts: F.transform(texts, lambda t: F.array(F.char_length(t) + 123456.0, F.lit(1.0))))
+    for asked in (done.groupBy("rel_path").agg(F.max("failed").alias("failed")), done.filter(~F.col("failed") & F.col("vector").isNotNull())):
+        assert asked._jdf.queryExecution().optimizedPlan().toString().count("123456.0") == 1
+        assert {r.rel_path for r in asked.collect() if not r.failed} == {"f", "g"}
+
+
 def test_peers_are_merged(spark):
     kinds = ["prose", "prose", "prose", "table", "prose", "prose", "prose", "prose", "prose"]
     heads = [["A"], ["A"], ["B"], ["B"], ["B"], ["B"], ["B"], ["B"], None]

@@ -53,7 +53,7 @@ def test_plans_push_down_and_stay_in_the_jvm(spark):
     assert "EqualTo(toxic,1)" in labels
 
 
-@pytest.mark.parametrize("name", ["read_documents"])
+@pytest.mark.parametrize("name", ["read_documents", "chunk_pages"])
 def test_titles_cut_within_a_reference(spark, duck, tmp_path, name):
     cuts = ["&", "&a", "&am", "&amp", "&amp;", "&quo", "&quot", "&copy", "&amp;amp;", "&&amp", "AT&T", "&ampx"]
     html = [f"<!DOCTYPE html><html><head><title>{c}</title></head><body><article><h1>A {c}</h1><p><b>A {c}</b> &amp;&quot; b</p></article><footer>&copy; m &middot; {c}</footer></body></html>" for c in cuts]

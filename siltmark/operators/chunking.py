@@ -1,8 +1,8 @@
 """From structural items to chunks: prose is gathered and split, tables stay whole and occur once.
 
 Items are (rel_path, raw, ord, kind, self_ref, headings, text, caption): raw numbers the stretches that a reader
-produced, ord the items within one, kind is prose or table. Everything happens per document, by windows and
-joins on rel_path.
+produced, ord the items within one, kind is prose or table. Everything happens per document: items are dealt once by
+rel_path, and windows, aggregates and array expressions follow without another exchange.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from siltmark.functions import tokenized
 from siltmark.functions.ids import fallback_ref
 from siltmark.functions.tables import embedding_parts, is_pure_table, row_count, split_oversized, table_text
-from siltmark.functions.text import is_useful, normalized, strip
+from siltmark.functions.text import is_useful, let, normalized, strip
 from siltmark.functions.tokenized import Counter
 
 ITEMS = "rel_path string, raw int, ord int, kind string, self_ref string, headings array<string>, text string, caption string"
@@ -31,18 +31,25 @@ def mixed_order(items: DataFrame) -> DataFrame:
     Of a table, and of a prose item that stands beside tables, only the first mention counts; prose without a reference
     is never a repeat. A stretch without tables is one text, under its headings.
     """
-    place = Window.partitionBy("rel_path", "kind", "self_ref").orderBy("raw", "ord")
     stretch = Window.partitionBy("rel_path", "raw")
-    told = items.withColumn("headings", clean_headings(F.col("headings"))).withColumn("mixed", F.max(F.col("kind") == "table").over(stretch))
-    counted = told.withColumn("nth", F.when((F.col("kind") == "table") | (F.col("mixed") & F.col("self_ref").isNotNull()), F.row_number().over(place.partitionBy("rel_path", "kind", "mixed", "self_ref"))).otherwise(1))
-    counted = counted.withColumn("island", F.sum((F.col("kind") == "table").cast("int")).over(stretch.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)))
-    first = counted.filter("nth = 1")
-    tables = first.filter("kind = 'table'").select("rel_path", "raw", "ord", "kind", F.col("self_ref").alias("ref"), "headings", strip("text").alias("text"), "caption")
-    texts = F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("ord", strip(F.coalesce("text", F.lit(""))).alias("t")))), lambda x: x["t"]), lambda t: t != ""), "\n\n")
-    prose = first.filter("kind <> 'table'").groupBy("rel_path", "raw", "island").agg(F.min("ord").alias("ord"), F.min_by("headings", "ord").alias("headings"), texts.alias("body"), F.max("mixed").alias("mixed"))
-    body = F.when(F.col("mixed"), F.col("body")).otherwise(strip(F.concat_ws("\n", "headings", "body")))
-    prose = prose.select("rel_path", "raw", "ord", F.lit("prose").alias("kind"), F.lit(None).cast("string").alias("ref"), "headings", body.alias("text"), F.lit(None).cast("string").alias("caption"))
-    return tables.unionByName(prose.filter("text <> ''"))
+    place = Window.partitionBy("rel_path", "kind", "mixed", "self_ref").orderBy("raw", "ord")
+    is_table = F.col("kind") == "table"
+    told = items.filter("kind IS NOT NULL").withColumn("headings", clean_headings(F.col("headings")))
+    # the window with an order comes first: its sort serves the other one too
+    told = told.withColumn("island", F.sum(is_table.cast("int")).over(stretch.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))).withColumn("mixed", F.max(is_table).over(stretch))
+    counted = told.withColumn("nth", F.when(is_table | (F.col("mixed") & F.col("self_ref").isNotNull()), F.row_number().over(place)).otherwise(1))
+    # an island is prose up to the next table, or one table; both come out of the same pass
+    item = F.struct("ord", "headings", F.col("self_ref").alias("ref"), "text", "caption")
+    islands = counted.filter("nth = 1").groupBy("rel_path", "raw", "island", is_table.alias("is_table"), "mixed").agg(F.array_sort(F.collect_list(item)).alias("xs"))
+    first = F.get("xs", F.lit(0))
+    body = F.array_join(F.filter(F.transform("xs", lambda x: strip(F.coalesce(x["text"], F.lit("")))), lambda t: t != ""), "\n\n")
+    text = F.when(F.col("is_table"), strip(first["text"])).when(F.col("mixed"), body).otherwise(strip(F.concat_ws("\n", first["headings"], body)))
+    none, of_table = F.lit(None).cast("string"), F.col("is_table")
+    placed = islands.select(
+        "rel_path", "raw", first["ord"].alias("ord"), F.when(of_table, "table").otherwise("prose").alias("kind"), F.when(of_table, first["ref"]).otherwise(none).alias("ref"),
+        first["headings"].alias("headings"), text.alias("text"), F.when(of_table, first["caption"]).otherwise(none).alias("caption"),
+    )
+    return placed.filter("kind = 'table' OR text <> ''")
 
 
 def omitted_tables(registry: DataFrame, emitted: DataFrame) -> DataFrame:
@@ -50,12 +57,25 @@ def omitted_tables(registry: DataFrame, emitted: DataFrame) -> DataFrame:
     return registry.join(emitted.select("rel_path", "ref"), ["rel_path", "ref"], "left_anti")
 
 
+def repeats(norm: Column, whole: Column) -> Column:
+    """A piece only repeats a part of a table; both are normalized."""
+    return (norm == "") | ((norm != whole) & F.contains(whole, norm))
+
+
 def residual_fragments(pieces: DataFrame, tables: DataFrame) -> DataFrame:
     """The pieces (rel_path, pos, piece) that only repeat a part of a table rendered earlier in their document; tables are (rel_path, pos, text)."""
     fragments = pieces.filter(F.contains("piece", F.lit("|"))).withColumn("norm", normalized(F.col("piece")))
     before = tables.select(F.col("rel_path").alias("p"), F.col("pos").alias("tpos"), normalized(F.col("text")).alias("whole"))
-    inside = (F.col("norm") == "") | ((F.col("norm") != F.col("whole")) & F.contains("whole", F.col("norm")))
-    return fragments.join(before, (F.col("rel_path") == F.col("p")) & (F.col("tpos") < F.col("pos")) & inside, "left_semi").drop("norm")
+    return fragments.join(before, (F.col("rel_path") == F.col("p")) & (F.col("tpos") < F.col("pos")) & repeats(F.col("norm"), F.col("whole")), "left_semi").drop("norm")
+
+
+def without_fragments(pieces: Column) -> Column:
+    """Of a document's pieces (pos, is_table, markdown), in order, those that residual_fragments leaves."""
+    no = F.lit(False)
+    tables = F.transform(F.filter(pieces, lambda x: x["is_table"]), lambda x: F.struct(x["pos"].alias("pos"), normalized(x["markdown"]).alias("whole")))
+    told = lambda x, ts: let(normalized(x["markdown"]), lambda norm: F.coalesce(F.exists(ts, lambda t: (t["pos"] < x["pos"]) & repeats(norm, t["whole"])), no))
+    gone = lambda x, ts: (F.size(ts) > 0) & ~x["is_table"] & F.contains(x["markdown"], F.lit("|")) & told(x, ts)
+    return let(tables, lambda ts: F.filter(pieces, lambda x: ~gone(x, ts)))
 
 
 def table_invariant(chunks: DataFrame, registry: DataFrame) -> DataFrame:
@@ -102,33 +122,33 @@ def assemble_chunks(items: DataFrame, max_tokens: int, registry: DataFrame | Non
     """
     split = split_oversized if tokenizer is None else partial(tokenized.split_oversized, count=tokenizer)
     parted = embedding_parts if tokenizer is None else partial(tokenized.embedding_parts, count=tokenizer)
-    placed = mixed_order(items)
+    placed = mixed_order(items.repartition("rel_path"))
     if registry is not None:
         last = F.lit(1 << 30)
         missing = omitted_tables(registry, placed.filter("kind = 'table'"))
         order = Window.partitionBy("rel_path").orderBy("ref")
         extra = missing.select("rel_path", last.alias("raw"), F.row_number().over(order).alias("ord"), F.lit("table").alias("kind"), "ref", F.array().cast("array<string>").alias("headings"), strip("text").alias("text"), "caption")
         placed = placed.unionByName(extra)
-    tables = placed.filter("kind = 'table'").withColumn("pos", F.struct("raw", "ord", F.lit(-1).alias("k")))
-    prose = placed.filter("kind = 'prose'").select("rel_path", "raw", "ord", "headings", F.posexplode(split(F.col("text"), max_tokens)).alias("k", "piece"))
-    prose = prose.filter(is_useful(F.col("piece"))).withColumn("pos", F.struct("raw", "ord", "k"))
-    gone = residual_fragments(prose.select("rel_path", "pos", "piece"), tables).select("rel_path", "pos")
-    prose = prose.join(gone, ["rel_path", "pos"], "left_anti").withColumn("pure", is_pure_table(F.col("piece")))
-
-    failed = tables.filter(~is_useful(F.col("text"))).select("rel_path", F.lit("a table without useful text").alias("error"))
+    is_table = F.col("kind") == "table"
+    pieces = F.when(is_table, F.array("text")).otherwise(split(F.when(~is_table, F.col("text")).otherwise(F.lit("")), max_tokens))
+    # outer: Spark would move a condition on what comes out below, where the pieces are cut anew for it
+    cut = placed.select("rel_path", "raw", "ord", is_table.alias("is_table"), "ref", "headings", "caption", F.posexplode_outer(pieces).alias("k", "markdown"))
+    cut = cut.filter(F.col("is_table") | is_useful(F.col("markdown")))
+    pos = F.struct("raw", "ord", F.when(F.col("is_table"), -1).otherwise(F.col("k")).alias("k"))
+    piece = F.struct(pos.alias("pos"), "is_table", "ref", "headings", "markdown", F.coalesce("caption", F.lit("")).alias("caption"))
+    documents = cut.groupBy("rel_path").agg(F.array_sort(F.collect_list(piece)).alias("xs"))
+    useless = F.when(F.exists("xs", lambda x: x["is_table"] & ~is_useful(x["markdown"])), "a table without useful text")
+    documents = documents.select("rel_path", without_fragments(F.col("xs")).alias("xs"), useless.alias("error"))
     if registry is not None:
-        broken = table_invariant(tables.select("rel_path", F.lit("table").alias("chunk_type"), F.col("ref").alias("table_ref")), registry)
-        failed = failed.union(broken.select("rel_path", F.lit("a table that is missing or occurs twice").alias("error")))
-    failed = failed.groupBy("rel_path").agg(F.min("error").alias("error"))
-    table_rows = tables.select("rel_path", "pos", "headings", F.lit(True).alias("is_table"), "ref", F.col("text").alias("markdown"), F.coalesce("caption", F.lit("")).alias("caption"))
-    prose_rows = prose.select("rel_path", "pos", "headings", F.col("pure").alias("is_table"), F.lit(None).cast("string").alias("ref"), F.col("piece").alias("markdown"), F.lit("").alias("caption"))
-    order = Window.partitionBy("rel_path").orderBy("pos")
-    every = table_rows.unionByName(prose_rows).withColumn("chunk_no", F.row_number().over(order) - 1)
+        broken = table_invariant(placed.filter("kind = 'table'").select("rel_path", F.lit("table").alias("chunk_type"), F.col("ref").alias("table_ref")), registry)
+        broken = broken.select("rel_path", F.lit("a table that is missing or occurs twice").alias("broken")).distinct()
+        documents = documents.join(broken, "rel_path", "left").select("rel_path", "xs", F.least("error", "broken").alias("error"))
+    every = documents.select("rel_path", "error", F.posexplode_outer("xs").alias("chunk_no", "x")).filter("x IS NOT NULL").select("rel_path", "error", "chunk_no", "x.*")
+    every = every.withColumn("is_table", F.col("is_table") | is_pure_table(F.col("markdown")))
     md, table = F.col("markdown"), F.col("is_table")
-    chunks = every.select(
+    return every.select(
         "rel_path", "chunk_no", F.when(table, table_text(md, F.col("caption"))).otherwise(md).alias("text"), "headings", table.alias("atomic"),
         F.when(table, "table").otherwise("prose").alias("chunk_type"), F.when(table, F.coalesce("ref", fallback_ref(md, F.col("chunk_no")))).alias("table_ref"),
         F.when(table, parted(md, F.col("headings"), F.col("caption"), max_tokens)).otherwise(F.array().cast("array<string>")).alias("embedding_parts"),
-        F.when(table, row_count(md)).otherwise(0).alias("row_count"),
+        F.when(table, row_count(md)).otherwise(0).alias("row_count"), "error",
     )
-    return chunks.join(failed, "rel_path", "left")

@@ -284,6 +284,11 @@ def test_peers_are_merged(spark):
     assert ck.merge_peers(df.limit(0), 64).count() == 0
 
 
+def test_a_document_without_path_is_one_document(spark):
+    df = items(spark, (0, 0, "table", "t0", [], MD, None), (1, 0, "prose", "p0", [], "| 1 | 2 |", None), (2, 0, "prose", "p1", [], "tail", None), (3, 0, "table", "t1", [], "| - |", None)).withColumn("rel_path", F.lit(None).cast("string"))
+    assert [(c.chunk_no, c.text, bool(c.error)) for c in ck.assemble_chunks(df, 100).orderBy("chunk_no").collect()] == [(0, MD, True), (1, "tail", True), (2, "| - |", True)]
+
+
 def test_prose_without_reference_is_no_repeat(spark):
     df = items(spark, (0, 0, "prose", None, [], "before", None), (0, 1, "table", "t0", [], MD, None), (0, 2, "prose", None, [], "after", None))
     assert [c.text for c in ck.assemble_chunks(df, 100).orderBy("chunk_no").collect()] == ["before", MD, "after"]

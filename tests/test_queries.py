@@ -53,6 +53,11 @@ def test_plans_push_down_and_stay_in_the_jvm(spark):
     assert "EqualTo(toxic,1)" in labels
 
 
+def test_chunk_pages_reads_and_shuffles_once(spark):
+    plan = QUERIES["chunk_pages"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and plan.count("Exchange ") == 1 and "Join" not in plan
+
+
 @pytest.mark.parametrize("name", ["read_documents", "chunk_pages"])
 def test_titles_cut_within_a_reference(spark, duck, tmp_path, name):
     cuts = ["&", "&a", "&am", "&amp", "&amp;", "&quo", "&quot", "&copy", "&amp;amp;", "&&amp", "AT&T", "&ampx"]
